@@ -81,9 +81,15 @@ def evaluate(
 
 
 def best_model(summary: DataFrame, models: list[str]) -> DataFrame:
-    """Model with the highest R-precision per scenario; the first one on ties."""
+    """Model with the highest R-precision per scenario; the first one on ties.
+
+    Means of the same values differ in their last bits with the order in which
+    tasks add them, so ties are judged on twelve decimals.
+    """
     order = F.array_position(F.array(*[F.lit(m) for m in models]), F.col("model"))
-    window = W.partitionBy("scenario").orderBy(F.desc("r_precision"), order)
+    window = W.partitionBy("scenario").orderBy(
+        F.round("r_precision", 12).desc(), order
+    )
     return (
         summary.withColumn("_place", F.row_number().over(window))
         .filter(F.col("_place") == 1)

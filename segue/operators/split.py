@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segue.functions.columns import hash_fraction
@@ -104,71 +104,67 @@ def in_vocabulary(rows: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return spread_join(rows, vocabulary.select("track_uri"), "track_uri", "left_semi")
 
 
-def seed_rows(
-    validation: DataFrame, vocabulary: DataFrame, scenarios: dict[str, int] = SCENARIOS
-) -> DataFrame:
-    """(scenario, pid, track_uri, pos): the first k known rows of each playlist.
+def seed_rows(known: DataFrame, scenarios: dict[str, int] = SCENARIOS) -> DataFrame:
+    """(scenario, pid, track_uri, pos): the first k rows of each playlist.
 
-    Repeats stay. Only the largest k rows per playlist are ever gathered.
+    ``known`` are the rows of in_vocabulary. Repeats stay. Only the largest k
+    rows of a playlist are ever gathered.
     """
-    first = _first_known(validation, vocabulary, max(scenarios.values()))
-    chosen = first.withColumn(
-        "scenario",
+    chosen = _first(known, max(scenarios.values())).withColumn(
+        "_s",
         F.explode(
             F.filter(_scenario_array(scenarios), lambda s: s["k"] >= F.col("_nth"))
         ),
     )
-    return chosen.select("scenario.scenario", "pid", "track_uri", "pos")
+    return chosen.select("_s.scenario", "pid", "track_uri", "pos")
 
 
 def holdout_rows(
-    validation: DataFrame, vocabulary: DataFrame, scenarios: dict[str, int] = SCENARIOS
+    known: DataFrame, scenarios: dict[str, int] = SCENARIOS
 ) -> DataFrame:
-    """(scenario, pid, track_uri): the different known items after the seeds.
+    """(scenario, pid, track_uri): the different items after the first k rows.
 
-    An item is held out when its last position lies beyond the k-th known row,
-    so items are reduced to their last position before scenarios multiply them.
+    An item is held out when its last position lies beyond the k-th row, so
+    items are reduced to their last position before scenarios multiply them.
     Playlists without held-out items do not appear.
     """
-    known = in_vocabulary(validation, vocabulary)
     last = known.groupBy("pid", "track_uri").agg(F.max("pos").alias("_last"))
-    first = _first_known(validation, vocabulary, max(1, *scenarios.values()))
-    ends = first.withColumn(
-        "_s",
-        F.explode(
-            F.filter(
-                _scenario_array(scenarios),
-                lambda s: F.greatest(s["k"], F.lit(1)) == F.col("_nth"),
-            )
-        ),
-    ).select(
-        F.col("_s.scenario").alias("scenario"),
-        "pid",
-        F.when(F.col("_s.k") > 0, F.col("pos")).alias("_end"),
+    # The k-th row ends the seeds; without seeds the first one marks the playlist.
+    ends = (
+        _first(known, max(1, *scenarios.values()))
+        .withColumn(
+            "_s",
+            F.explode(
+                F.filter(
+                    _scenario_array(scenarios),
+                    lambda s: F.greatest(s["k"], F.lit(1)) == F.col("_nth"),
+                )
+            ),
+        )
+        .select(
+            "pid",
+            F.struct(
+                F.col("_s.scenario").alias("scenario"),
+                F.when(F.col("_s.k") > 0, F.col("pos")).alias("end"),
+            ).alias("_end"),
+        )
     )
+    # At most one entry per scenario, so the list is as short as the scenarios.
+    per_playlist = ends.groupBy("pid").agg(F.collect_list("_end").alias("_ends"))
     return (
-        spread_join(last, _one_row_per_pid(ends), "pid")
+        spread_join(last, per_playlist, "pid")
         .withColumn("_e", F.explode("_ends"))
-        .filter(F.col("_e._end").isNull() | (F.col("_last") > F.col("_e._end")))
-        .select(F.col("_e.scenario").alias("scenario"), "pid", "track_uri")
+        .filter(F.col("_e.end").isNull() | (F.col("_last") > F.col("_e.end")))
+        .select("_e.scenario", "pid", "track_uri")
     )
 
 
-def _one_row_per_pid(ends: DataFrame) -> DataFrame:
-    # At most one entry per scenario, so the list is as short as the scenarios.
-    return ends.groupBy("pid").agg(
-        F.collect_list(F.struct("scenario", "_end")).alias("_ends")
-    )
-
-
-def _first_known(validation: DataFrame, vocabulary: DataFrame, n: int) -> DataFrame:
-    known = in_vocabulary(validation, vocabulary)
-    return top_per_group(
-        known, ["pid"], [F.col("pos"), F.col("track_uri")], n, name="_nth"
-    )
+def _first(known: DataFrame, n: int) -> DataFrame:
+    order = [F.col("pos"), F.col("track_uri")]
+    return top_per_group(known, ["pid"], order, n, name="_nth")
 
 
-def _scenario_array(scenarios: dict[str, int]):
+def _scenario_array(scenarios: dict[str, int]) -> Column:
     return F.array(
         *[
             F.struct(F.lit(name).alias("scenario"), F.lit(k).alias("k"))

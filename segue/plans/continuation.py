@@ -23,6 +23,7 @@ from segue.operators.scoring import (
 from segue.operators.split import (
     SCENARIOS,
     holdout_rows,
+    in_vocabulary,
     reserve_validation,
     seed_rows,
     train_split,
@@ -39,6 +40,7 @@ class Split:
     train: DataFrame
     validation: DataFrame
     baseline: DataFrame
+    known: DataFrame
 
 
 def split_tables(
@@ -53,7 +55,8 @@ def split_tables(
     train = train_split(rows, reserved)
     validation = stage(validation_split(rows, reserved), "validation")
     baseline = stage(pop_baseline(train), "baseline")
-    return Split(reserved, train, validation, baseline)
+    known = stage(in_vocabulary(validation, baseline), "known")
+    return Split(reserved, train, validation, baseline, known)
 
 
 def aligned_candidates(
@@ -113,10 +116,8 @@ def scenario_lists(
     models: list[str] = MODELS,
 ) -> tuple[DataFrame, DataFrame]:
     """(recommendations, holdout) of the whole grid of scenarios and models."""
-    seeds = stage(seed_rows(split.validation, split.baseline, scenarios), "seeds")
-    holdout = stage(
-        holdout_rows(split.validation, split.baseline, scenarios), "holdout"
-    )
+    seeds = stage(seed_rows(split.known, scenarios), "seeds")
+    holdout = stage(holdout_rows(split.known, scenarios), "holdout")
     candidates = aligned_candidates(split.baseline, als_factors, word_factors)
     queries = holdout.select("scenario", "pid").distinct()
     rows = model_queries(

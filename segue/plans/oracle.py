@@ -480,13 +480,14 @@ def oracle_sql() -> dict[str, str]:
     sql["similar_items"] = _with(
         ["normed", "tracks"],
         f"""
-        SELECT n.track_uri, track_name, artist_name,
-               round(list_dot_product(n.v, q.v) / (n.norm * q.norm), 6) AS similarity
-        FROM normed n JOIN tracks USING (track_uri), normed q
-        WHERE q.track_uri = '{SIMILAR_TO}' AND n.track_uri <> q.track_uri
-              AND n.norm > 0
-        ORDER BY list_dot_product(n.v, q.v) / (n.norm * q.norm) DESC, n.track_uri
-        LIMIT 10""",
+        SELECT track_uri, track_name, artist_name, round(cosine, 6) AS similarity
+        FROM (SELECT n.track_uri,
+                     list_dot_product(n.v, q.v) / (n.norm * q.norm) AS cosine
+              FROM normed n, normed q
+              WHERE q.track_uri = '{SIMILAR_TO}' AND n.track_uri <> q.track_uri
+                    AND n.norm > 0
+              ORDER BY cosine DESC, n.track_uri LIMIT 10)
+        JOIN tracks USING (track_uri)""",
     )
     sql["score_popularity"] = _model_lists("Popularity")
     sql["score_als"] = _model_lists("ALS")
@@ -530,7 +531,7 @@ def oracle_sql() -> dict[str, str]:
         SELECT scenario, model, round(r_precision, 6) AS r_precision,
                round(ndcg, 6) AS ndcg
         FROM (SELECT *, row_number() OVER (PARTITION BY scenario
-                  ORDER BY r_precision DESC, {place}) AS nth FROM summary)
+                  ORDER BY round(r_precision, 12) DESC, {place}) AS nth FROM summary)
         WHERE nth = 1""",
     )
     sql["improvement"] = _with(

@@ -264,13 +264,11 @@ def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def seed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = _split(spark, sf_dir)
-    return splits.seed_rows(tables.validation, tables.baseline, SCENARIOS)
+    return splits.seed_rows(_split(spark, sf_dir).known, SCENARIOS)
 
 
 def seed_holdout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = _split(spark, sf_dir)
-    return splits.holdout_rows(tables.validation, tables.baseline, SCENARIOS)
+    return splits.holdout_rows(_split(spark, sf_dir).known, SCENARIOS)
 
 
 # --- scoring -----------------------------------------------------------------
@@ -300,8 +298,7 @@ def factor_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _first_10(spark: SparkSession, sf_dir: str):
     tables = _split(spark, sf_dir)
-    scenario = {"first_10": 10}
-    seeds = splits.seed_rows(tables.validation, tables.baseline, scenario)
+    seeds = splits.seed_rows(tables.known, {"first_10": 10})
     return tables, stage(seeds.select("pid", "track_uri"), "seeds")
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from segue.operators.joins import spread_join
 from segue.operators.ranking import group_positions
 from segue.schema import PLAYLIST_COLUMNS
-from segue.sources.storage import read_table
+from segue.sources.storage import read_table, stage
 
 # Tracks a nested playlist record holds at most. A longer collection is stored
 # as several records with the same pid, so that no record is unbounded.
@@ -81,9 +81,8 @@ def lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customer-side attributes of every collection that has rows."""
-    customers = _table(spark, sf_dir, "customer").select(
+def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("pid"),
         F.concat(F.lit(" "), "c_mktsegment", F.lit(" ")).alias("name"),
         F.when(F.col("c_acctbal") >= 5000, F.col("c_name")).alias("description"),
@@ -92,11 +91,22 @@ def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("collaborative"),
         (F.col("c_custkey") % 97 + 1).cast("int").alias("num_followers"),
     )
-    return lengths(spark, sf_dir).join(customers, "pid")
 
 
-def playlists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All header columns, ``collaborative`` still as text."""
+def headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Length and customer-side attributes of every collection that has rows."""
+    return lengths(spark, sf_dir).join(_customers(spark, sf_dir), "pid")
+
+
+def playlists(
+    spark: SparkSession, sf_dir: str, rows: DataFrame | None = None
+) -> DataFrame:
+    """All header columns, ``collaborative`` still as text.
+
+    ``rows`` are the interactions, when the caller has them written already.
+    """
+    if rows is None:
+        rows = interactions(spark, sf_dir)
     last_orders = (
         _table(spark, sf_dir, "orders")
         .groupBy(F.col("o_custkey").alias("pid"))
@@ -109,11 +119,7 @@ def playlists(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # Appearances are folded to (pid, item) first; the distinct counts then
     # group on (pid, attribute) before they are counted per pid.
-    items = (
-        interactions(spark, sf_dir)
-        .groupBy("pid", "track_uri")
-        .agg(F.count("*").alias("n"))
-    )
+    items = rows.groupBy("pid", "track_uri").agg(F.count("*").alias("n"))
     details = (
         spread_join(
             items,
@@ -126,13 +132,13 @@ def playlists(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(
             F.countDistinct("album_uri").cast("int").alias("num_albums"),
             F.countDistinct("artist_uri").cast("int").alias("num_artists"),
+            F.sum("n").cast("int").alias("num_tracks"),
             F.sum(F.col("duration_ms") * F.col("n")).cast("bigint").alias("duration_ms"),
         )
     )
     return (
-        headers(spark, sf_dir)
-        .join(last_orders, "pid")
-        .join(details, "pid")
+        details.join(last_orders, "pid")
+        .join(_customers(spark, sf_dir), "pid")
         .select(*PLAYLIST_COLUMNS)
     )
 
@@ -145,9 +151,8 @@ def slices(
     Records hold at most RECORD_TRACKS consecutive tracks and slices about
     ``playlists_per_slice`` records.
     """
-    entries = spread_join(
-        playlist_tracks(spark, sf_dir), tracks(spark, sf_dir), "track_uri"
-    )
+    rows = stage(playlist_tracks(spark, sf_dir), "playlist_tracks")
+    entries = spread_join(rows, tracks(spark, sf_dir), "track_uri")
     records = entries.groupBy(
         "pid", F.floor(F.col("pos") / RECORD_TRACKS).alias("part")
     ).agg(
@@ -166,7 +171,7 @@ def slices(
             )
         ).alias("tracks")
     )
-    heads = playlists(spark, sf_dir)
+    heads = playlists(spark, sf_dir, rows)
     full = records.join(heads, "pid").withColumn(
         "playlist",
         F.struct(
