@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segue.operators.joins import spread_join
+from segue.operators.joins import lookup_join
 from segue.operators.ranking import global_rank
 
 
@@ -34,9 +34,9 @@ def artist_popularity(playlist_tracks: DataFrame, tracks: DataFrame) -> DataFram
     """
     artist = ["artist_uri", "artist_name"]
     labels = tracks.select("track_uri", *artist)
+    counts = item_counts(playlist_tracks)
     totals = (
-        item_counts(playlist_tracks)
-        .join(labels, "track_uri")
+        counts.join(labels, "track_uri")
         .groupBy(*artist)
         .agg(
             F.sum("playlist_count").alias("total_appearances"),
@@ -44,7 +44,12 @@ def artist_popularity(playlist_tracks: DataFrame, tracks: DataFrame) -> DataFram
         )
     )
     playlists = (
-        spread_join(playlist_tracks.select("pid", "track_uri"), labels, "track_uri")
+        lookup_join(
+            playlist_tracks.select("pid", "track_uri"),
+            labels,
+            "track_uri",
+            counts=counts.withColumnRenamed("playlist_count", "n"),
+        )
         .select("pid", *artist)
         .distinct()
         .groupBy(*artist)

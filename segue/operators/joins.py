@@ -13,16 +13,15 @@ HOT_SHARE = 1 / 512
 BROADCAST_ROWS = 2_000_000
 
 
-def hot_keys(df: DataFrame, on: list[str], share: float = HOT_SHARE) -> DataFrame:
+def hot_keys(counts: DataFrame, on: list[str], share: float = HOT_SHARE) -> DataFrame:
     """Keys with more than ``share`` of all rows and the parts to split them in.
 
-    Each part holds at most about ``share`` of the rows, and all parts together
-    number at most ``2 / share``.
+    ``counts`` is (keys, n). Each part holds at most about ``share`` of the rows,
+    and all parts together number at most ``2 / share``.
     """
-    counts = df.groupBy(*on).agg(F.count("*").alias("_n"))
-    limit = counts.agg((F.sum("_n") * F.lit(share)).alias("_limit")).scalar()
-    return counts.filter(F.col("_n") > limit).select(
-        *on, F.ceil(F.col("_n") / limit).cast("int").alias("_parts")
+    limit = counts.agg((F.sum("n") * F.lit(share)).alias("limit")).scalar()
+    return counts.filter(F.col("n") > limit).select(
+        *on, F.ceil(F.col("n") / limit).cast("int").alias("_parts")
     )
 
 
@@ -31,26 +30,30 @@ def spread_join(
     right: DataFrame,
     on: str | list[str],
     how: str = "inner",
+    counts: DataFrame | None = None,
     share: float = HOT_SHARE,
 ) -> DataFrame:
     """Equi join of a large ``left`` with a ``right`` whose keys are not hot.
 
-    Rows of a hot left key are spread over several parts by a hash of the row,
-    and the matching right rows are copied to each part. Every left row meets
-    each of its matches exactly once, so inner, left, left_semi and left_anti
-    joins keep their results. No side is hinted: Spark still broadcasts the
-    right one when its measured size allows that.
+    Rows of a hot left key are spread over several parts and the matching right
+    rows are copied to each part. Every left row meets each of its matches
+    exactly once, so inner, left, left_semi and left_anti joins keep their
+    results. The part follows from the row and its input partition, which a
+    repeated task finds unchanged; a random number it would not.
+
+    ``counts`` (keys, n), when the caller has them, saves counting the left keys.
+    No side is hinted: Spark still broadcasts the right one when its measured
+    size allows that.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    hot = F.broadcast(hot_keys(left, keys, share))
-    columns = left.columns
+    if counts is None:
+        counts = left.groupBy(*keys).agg(F.count("*").alias("n"))
+    hot = F.broadcast(hot_keys(counts, keys, share))
+    spot = F.xxhash64(*left.columns) + F.spark_partition_id()
     salted = left.join(hot, keys, "left").withColumn(
         "_part",
-        F.when(
-            F.col("_parts").isNotNull(),
-            F.pmod(F.xxhash64(*columns), F.col("_parts").cast("bigint")),
-        )
-        .otherwise(F.lit(0))
+        F.when(F.col("_parts").isNull(), F.lit(0))
+        .otherwise(F.pmod(spot, F.col("_parts").cast("bigint")))
         .cast("int"),
     )
     copies = (
@@ -70,25 +73,34 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
     return df.limit(limit + 1).count() <= limit
 
 
-def restrict_to(
-    df: DataFrame, keys: DataFrame, on: str, limit: int = BROADCAST_ROWS
+def lookup_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: str | list[str],
+    how: str = "inner",
+    counts: DataFrame | None = None,
+    limit: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Rows of ``df`` whose key is in ``keys`` (unique values).
+    """Equi join of many rows with a table whose keys are not hot.
 
-    The list is broadcast once its size is known to fit, so ``df`` is filtered
-    where it lies; a longer list is joined by shuffle, hot keys spread.
+    The right side is broadcast once it is known to have at most ``limit`` rows,
+    so the left rows stay where they lie; a longer one is joined by shuffle with
+    hot left keys spread. ``right`` is read twice: pass a stored table.
     """
-    wanted = keys.select(on)
-    if fits_broadcast(wanted, limit):
-        return df.join(F.broadcast(wanted), on, "left_semi")
-    return spread_join(df, wanted, on, "left_semi")
+    if fits_broadcast(right, limit):
+        return left.join(F.broadcast(right), on, how)
+    return spread_join(left, right, on, how, counts)
+
+
+def restrict_to(
+    df: DataFrame, keys: DataFrame, on: str, limit: int = BROADCAST_ROWS
+) -> DataFrame:
+    """Rows of ``df`` whose key is in ``keys`` (unique values)."""
+    return lookup_join(df, keys.select(on), on, "left_semi", limit=limit)
 
 
 def without(
     df: DataFrame, keys: DataFrame, on: str, limit: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Rows of ``df`` whose key is not in ``keys``; the complement of restrict_to."""
-    unwanted = keys.select(on)
-    if fits_broadcast(unwanted, limit):
-        return df.join(F.broadcast(unwanted), on, "left_anti")
-    return spread_join(df, unwanted, on, "left_anti")
+    return lookup_join(df, keys.select(on), on, "left_anti", limit=limit)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segue.functions.vectors import is_nonzero, l2_norm
-from segue.operators.joins import spread_join
+from segue.operators.joins import lookup_join
 from segue.operators.ranking import dense_index
 from segue.operators.scoring import recommend
 from segue.sources.storage import stage
@@ -40,12 +40,19 @@ def track_id_map(train: DataFrame) -> DataFrame:
     return dense_index(items, [F.col("track_uri")], "track_id")
 
 
-def als_input(train: DataFrame, id_map: DataFrame) -> DataFrame:
+def als_input(
+    train: DataFrame, id_map: DataFrame, baseline: DataFrame | None = None
+) -> DataFrame:
     """(user_id, item_id, rating): every appearance counts as 1.0.
 
-    MLlib takes 32-bit ids; the casts fail loudly beyond that range.
+    MLlib takes 32-bit ids; the casts fail loudly beyond that range. The counts
+    of ``baseline``, if given, tell which items are hot.
     """
-    return spread_join(train.select("pid", "track_uri"), id_map, "track_uri").select(
+    counts = baseline
+    if baseline is not None:
+        counts = baseline.select("track_uri", F.col("playlist_count").alias("n"))
+    rows = train.select("pid", "track_uri")
+    return lookup_join(rows, id_map, "track_uri", counts=counts).select(
         F.col("pid").cast("int").alias("user_id"),
         F.col("track_id").cast("int").alias("item_id"),
         F.lit(1.0).cast("float").alias("rating"),
@@ -80,7 +87,7 @@ def als_recommend(
         )
     )
     labels = tracks.select("track_uri", "track_name", "artist_name")
-    named = spread_join(listed, id_map.join(labels, "track_uri"), "track_id")
+    named = lookup_join(listed, id_map.join(labels, "track_uri"), "track_id")
     return named.select(
         "user_id", "rank", "track_uri", "track_name", "artist_name", "als_score"
     ).orderBy("user_id", "rank")

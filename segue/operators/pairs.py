@@ -80,6 +80,7 @@ def cooccurrence(
 ) -> DataFrame:
     """Pair counts among the ``top_k`` most popular items (ties at the cut stay)."""
     popular = popularity.filter(F.col("popularity_rank") <= top_k).select("track_uri")
+    popular = stage(popular, "popular")
     kept = restrict_to(playlist_tracks.select("pid", "track_uri"), popular, "track_uri")
     return pair_counts(kept, min_count)
 

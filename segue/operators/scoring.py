@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from segue.functions import tiles
 from segue.functions.vectors import is_nonzero, l2_norm, normalize, scale
-from segue.operators.joins import spread_join
+from segue.operators.joins import lookup_join, spread_join
 from segue.operators.ranking import dense_index, top_per_group
 from segue.sources.storage import stage
 
@@ -39,6 +39,9 @@ TILE_ITEMS = 32_768
 TILE_QUERIES = 1_024
 TILE_RESULTS = 500_000
 
+# Longest table of vectors that is broadcast: 100 MB at 128 doubles.
+VECTOR_ROWS = 100_000
+
 # Executors need numpy and pyarrow only: the kernels travel with the plan.
 cloudpickle.register_pickle_by_value(tiles)
 
@@ -100,7 +103,7 @@ def profile_vectors(
     )
     mean = Summarizer.mean(array_to_vector(F.col("features")), F.col("_w"))
     profiles = (
-        spread_join(folded, usable, "track_uri")
+        lookup_join(folded, usable, "track_uri", limit=VECTOR_ROWS)
         .groupBy(*keys)
         .agg(vector_to_array(mean).alias("profile"))
     )
@@ -347,7 +350,7 @@ def recommend(
     shared = [k for k in keys if k in seeds.columns]
     excluded = stage(seeds.select(*shared, "track_uri").distinct(), "seeds")
     if shared != keys:
-        excluded = spread_join(excluded, queries.select(*keys), shared)
+        excluded = lookup_join(excluded, queries.select(*keys), shared)
     has_vector = F.col("als_q").isNotNull() | F.col("word_q").isNotNull()
     plain = queries.filter(~has_vector).withColumn("need", F.lit(n).cast("bigint"))
     dense = (

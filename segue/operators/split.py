@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segue.functions.columns import hash_fraction
-from segue.operators.joins import restrict_to, spread_join, without
+from segue.operators.joins import lookup_join, restrict_to, without
 from segue.operators.ranking import top_per_group
+from segue.sources.storage import stage
 
 # Scenario names and the number of leading items given as seeds.
 SCENARIOS = {
@@ -101,7 +102,7 @@ def sequences(
 
 def in_vocabulary(rows: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """Rows whose item occurs in the training data."""
-    return spread_join(rows, vocabulary.select("track_uri"), "track_uri", "left_semi")
+    return restrict_to(rows, vocabulary, "track_uri")
 
 
 def seed_rows(known: DataFrame, scenarios: dict[str, int] = SCENARIOS) -> DataFrame:
@@ -150,9 +151,11 @@ def holdout_rows(
         )
     )
     # At most one entry per scenario, so the list is as short as the scenarios.
-    per_playlist = ends.groupBy("pid").agg(F.collect_list("_end").alias("_ends"))
+    per_playlist = stage(
+        ends.groupBy("pid").agg(F.collect_list("_end").alias("_ends")), "ends"
+    )
     return (
-        spread_join(last, per_playlist, "pid")
+        lookup_join(last, per_playlist, "pid")
         .withColumn("_e", F.explode("_ends"))
         .filter(F.col("_e.end").isNull() | (F.col("_last") > F.col("_e.end")))
         .select("_e.scenario", "pid", "track_uri")

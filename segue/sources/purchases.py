@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segue.operators.joins import spread_join
+from segue.operators.joins import lookup_join
 from segue.operators.ranking import group_positions
 from segue.schema import PLAYLIST_COLUMNS
 from segue.sources.storage import read_table, stage
@@ -121,7 +121,7 @@ def playlists(
     # group on (pid, attribute) before they are counted per pid.
     items = rows.groupBy("pid", "track_uri").agg(F.count("*").alias("n"))
     details = (
-        spread_join(
+        lookup_join(
             items,
             tracks(spark, sf_dir).select(
                 "track_uri", "artist_uri", "album_uri", "duration_ms"
@@ -152,7 +152,7 @@ def slices(
     ``playlists_per_slice`` records.
     """
     rows = stage(playlist_tracks(spark, sf_dir), "playlist_tracks")
-    entries = spread_join(rows, tracks(spark, sf_dir), "track_uri")
+    entries = lookup_join(rows, tracks(spark, sf_dir), "track_uri")
     records = entries.groupBy(
         "pid", F.floor(F.col("pos") / RECORD_TRACKS).alias("part")
     ).agg(
