@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -56,13 +58,32 @@ def percent(part: Column, whole: Column) -> Column:
     return F.round(part.cast("double") * 100.0 / whole.cast("double"), 2)
 
 
-def hash_fraction(key: Column, seed: int | None = None) -> Column:
-    """A number in [0, 1) that depends on nothing but the key and the seed."""
-    text = key.cast("string")
-    if seed is not None:
-        text = F.concat(F.lit(f"{seed}:"), text)
-    leading = F.substring(F.md5(text.cast("binary")), 1, 8)
-    return F.conv(leading, 16, 10).cast("bigint") / F.lit(float(2**32))
+# Shifts and multipliers of a published 32-bit integer mixer. The
+# multipliers are below 2^31, so products of 32-bit words fit in a bigint.
+MIX_ROUNDS = [(16, 0x21F0AAAD), (15, 0x735A2D97)]
+MIX_LAST_SHIFT = 15
+WORD = 2**32
+
+
+def hash_word(key: Column, seed: int = 0) -> Column:
+    """A number in [0, 2^32) mixed from an integer key and a seed.
+
+    Plain integer arithmetic: it stays in generated code and costs a fraction of
+    a digest of the key's text, which matters where every row is drawn.
+    """
+    mask = F.lit(WORD - 1)
+    key = key.cast("bigint")
+    word = key.bitwiseXOR(F.shiftright(key, 32)).bitwiseAND(mask)
+    word = (word + F.lit(seed % WORD)).bitwiseAND(mask)
+    for shift, multiplier in MIX_ROUNDS:
+        word = word.bitwiseXOR(F.shiftright(word, shift))
+        word = (word * F.lit(multiplier)).bitwiseAND(mask)
+    return word.bitwiseXOR(F.shiftright(word, MIX_LAST_SHIFT))
+
+
+def hash_below(key: Column, fraction: float, seed: int = 0) -> Column:
+    """True for about ``fraction`` of the keys, always the same ones."""
+    return hash_word(key, seed) < F.lit(math.ceil(fraction * WORD))
 
 
 def relative_gain(value: Column, base: Column) -> Column:

@@ -57,7 +57,16 @@ def artist_popularity(playlist_tracks: DataFrame, tracks: DataFrame) -> DataFram
         .withColumnsRenamed({name: f"_{name}" for name in artist})
     )
     same = [F.col(name).eqNullSafe(F.col(f"_{name}")) for name in artist]
-    stats = totals.join(playlists, same).select(
-        *artist, "total_appearances", "unique_tracks", "unique_playlists"
+    # Ranked before the playlists join in: the histogram behind the rank would
+    # otherwise run that join a second time.
+    return (
+        global_rank(totals, "total_appearances", "popularity_rank")
+        .join(playlists, same)
+        .select(
+            *artist,
+            "total_appearances",
+            "unique_tracks",
+            "unique_playlists",
+            "popularity_rank",
+        )
     )
-    return global_rank(stats, "total_appearances", "popularity_rank")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segue.functions.columns import hash_fraction
+from segue.functions.columns import hash_below
 from segue.operators.joins import fits_broadcast, restrict_to
 from segue.sources.storage import stage
 
@@ -86,21 +86,21 @@ def cooccurrence(
 
 
 def sample_collections(
-    playlist_tracks: DataFrame, fraction: float, seed: int | None = None
+    playlist_tracks: DataFrame, fraction: float, seed: int = 0
 ) -> DataFrame:
     """Rows of a reproducible sample of collections.
 
     The draw depends on the pid alone, so it is a filter on the scan: no
     distinct, no join and no list of sampled keys.
     """
-    return playlist_tracks.filter(hash_fraction(F.col("pid"), seed) < fraction)
+    return playlist_tracks.filter(hash_below(F.col("pid"), fraction, seed))
 
 
 def cooccurrence_sampled(
     playlist_tracks: DataFrame,
     fraction: float = 0.01,
     min_count: int = 2,
-    seed: int | None = None,
+    seed: int = 0,
 ) -> DataFrame:
     """Pair counts over a sample of collections, all items allowed."""
     sampled = sample_collections(playlist_tracks, fraction, seed)

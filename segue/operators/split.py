@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from segue.functions.columns import hash_fraction
+from segue.functions.columns import hash_below, hash_word
 from segue.operators.joins import lookup_join, restrict_to, without
 from segue.operators.ranking import top_per_group
 from segue.sources.storage import stage
@@ -28,14 +28,14 @@ def reserve_validation(
     min_length: int = 100,
     fraction: float = 0.006,
     cap: int = 2_000,
-    seed: int | None = None,
+    seed: int = 0,
 ) -> DataFrame:
     """(pid, name) of a reproducible sample of long playlists, ``cap`` at most."""
-    draw = hash_fraction(F.col("pid"), seed)
+    pid = F.col("pid")
     return (
         playlists.filter(F.col("num_tracks") >= min_length)
-        .select("pid", "name", draw.alias("_draw"))
-        .filter(F.col("_draw") < fraction)
+        .filter(hash_below(pid, fraction, seed))
+        .select("pid", "name", hash_word(pid, seed).alias("_draw"))
         .orderBy("_draw", "pid")
         .limit(cap)
         .drop("_draw")

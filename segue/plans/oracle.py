@@ -17,6 +17,15 @@ from segue.plans.queries import (
     TOP_ITEMS,
 )
 
+
+def _drawn(key: str, seed: int) -> str:
+    """The 32-bit number that decides whether a key is sampled."""
+    word = f"((xor({key}, {key} >> 32) & 4294967295) + {seed}) & 4294967295"
+    for shift, multiplier in [(16, 569420461), (15, 1935289751)]:
+        word = f"((xor(({word}), ({word}) >> {shift}) * {multiplier}) & 4294967295)"
+    return f"xor({word}, {word} >> 15)"
+
+
 # Each fragment is one CTE; NEEDS lists the ones it reads.
 PARTS = {
     "pt": """
@@ -63,11 +72,8 @@ PARTS = {
         GROUP BY 1, 2 HAVING count(*) >= {MIN_PAIRS}""",
     "reserved": f"""
         SELECT pid, name FROM (
-            SELECT pid, name, num_tracks,
-                   CAST('0x' || substr(md5(CAST(pid AS VARCHAR)), 1, 8) AS BIGINT)
-                       / 4294967296.0 AS draw
-            FROM heads)
-        WHERE num_tracks >= {LONG} AND draw < {FRACTION}
+            SELECT pid, name, num_tracks, {_drawn("pid", 0)} AS draw FROM heads)
+        WHERE num_tracks >= {LONG} AND draw < {FRACTION} * 4294967296
         ORDER BY draw, pid LIMIT 2000""",
     "validation": "SELECT pt.* FROM pt WHERE pid IN (SELECT pid FROM reserved)",
     "train": "SELECT pt.* FROM pt WHERE pid NOT IN (SELECT pid FROM reserved)",
@@ -405,8 +411,7 @@ def oracle_sql() -> dict[str, str]:
         SELECT a.track_uri AS track_uri_1, b.track_uri AS track_uri_2,
                count(*) AS co_count
         FROM pt a JOIN pt b ON a.pid = b.pid AND a.track_uri < b.track_uri
-        WHERE CAST('0x' || substr(md5('42:' || CAST(a.pid AS VARCHAR)), 1, 8)
-                   AS BIGINT) / 4294967296.0 < {FRACTION}
+        WHERE {_drawn("a.pid", 42)} < {FRACTION} * 4294967296
         GROUP BY 1, 2 HAVING count(*) >= {MIN_PAIRS_SAMPLED}""",
     )
     sql["top_pairs"] = _with(

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from segue.functions.columns import hash_fraction
+from segue.functions.columns import hash_below
 from segue.operators import counting, pairs, profile
 from segue.operators.joins import hot_keys, restrict_to, spread_join, without
 from segue.operators.ranking import dense_index, global_rank, group_positions, top_per_group
@@ -169,8 +169,16 @@ def test_ties_at_the_popularity_cut_stay(spark, rows):
 
 
 def test_sample_depends_on_the_key_alone(spark, rows):
-    df = spark.range(2000).select(F.col("id").alias("pid"))
-    once = rows(df.filter(hash_fraction(F.col("pid"), 42) < 0.1))
-    again = rows(df.repartition(7).filter(hash_fraction(F.col("pid"), 42) < 0.1))
-    other = rows(df.filter(hash_fraction(F.col("pid"), 43) < 0.1))
+    df = spark.range(-1000, 1000).select(F.col("id").alias("pid"))
+    once = rows(df.filter(hash_below(F.col("pid"), 0.1, 42)))
+    again = rows(df.repartition(7).filter(hash_below(F.col("pid"), 0.1, 42)))
+    other = rows(df.filter(hash_below(F.col("pid"), 0.1, 43)))
     assert once == again and once != other and 140 < len(once) < 260
+    assert df.filter(hash_below(F.col("pid"), 0.0)).isEmpty()
+    assert df.filter(hash_below(F.col("pid"), 1.0)).count() == 2000
+
+
+def test_sample_is_even_over_large_keys(spark):
+    keys = spark.range(40_000).select((F.col("id") * (2**33 + 8)).alias("pid"))
+    share = keys.filter(hash_below(F.col("pid"), 0.25)).count() / 40_000
+    assert abs(share - 0.25) < 0.01
