@@ -62,28 +62,31 @@ def span_kernel(keys: list[str]) -> Callable[[pa.Table, pa.Table], pa.Table]:
     return spans
 
 
-def best_positions(scores: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the ``k`` largest scores; of equal ones, the first."""
-    if k >= scores.size:
-        return np.arange(scores.size)
+def best_positions(scores: np.ndarray, k: int, floor: float) -> np.ndarray:
+    """Positions of the ``k`` largest scores from ``floor`` up; of equals, the first."""
+    found = np.flatnonzero(scores >= floor)
+    if k >= found.size:
+        return found
+    scores = scores[found]
     cut = np.partition(scores, scores.size - k)[scores.size - k]
     above = np.flatnonzero(scores > cut)
     level = np.flatnonzero(scores == cut)[: k - above.size]
-    return np.concatenate([above, level])
+    return found[np.concatenate([above, level])]
 
 
 def top_kernel(keys: list[str]) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """The ``keep`` best items of every query inside the tile."""
+    """The ``keep`` best items of every query inside the tile, from its floor up."""
 
     def top(items: pa.Table, queries: pa.Table) -> pa.Table:
         # In URI order, so that equal scores are taken by the smallest URI.
         items = items.take(pc.sort_indices(items["track_uri"]))
         keep = queries["keep"].to_numpy()
+        floor = queries["floor"].to_numpy()
         owner, found = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         values = [np.empty(0)]
         for first, scores in _scores(items, queries):
             for query, row in enumerate(scores, start=first):
-                chosen = best_positions(row, int(keep[query]))
+                chosen = best_positions(row, int(keep[query]), floor[query])
                 owner.append(np.full(chosen.size, query))
                 found.append(chosen)
                 values.append(row[chosen])

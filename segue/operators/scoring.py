@@ -17,14 +17,18 @@ they take the head of the popularity list instead of a product.
 
 from __future__ import annotations
 
+import math
+
 from pyspark import cloudpickle
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from segue.functions import tiles
+from segue.functions.columns import WORD
 from segue.functions.vectors import is_nonzero, l2_norm, normalize, scale
 from segue.operators.joins import lookup_join, spread_join
 from segue.operators.ranking import dense_index, top_per_group
@@ -45,6 +49,9 @@ VECTOR_ROWS = 100_000
 # Executors need numpy and pyarrow only: the kernels travel with the plan.
 cloudpickle.register_pickle_by_value(tiles)
 
+# From this many item blocks on, a sample of the items is scored first.
+FLOOR_BLOCKS = 8
+
 # Longest head of the popularity list that one task sorts and that is broadcast.
 HEAD_ROWS = 100_000
 
@@ -225,7 +232,7 @@ def _tiles(
     columns = [*keys, "weight", "als_q", "word_q", "shift"]
     right = queries.select(
         *columns,
-        *(["keep"] if keep_rows else []),
+        *(["keep", "floor"] if keep_rows else []),
         query_block.alias("_q"),
         F.explode(F.sequence(F.lit(0), F.lit(item_blocks - 1))).alias("_i"),
     ).repartition(partitions, "_i", "_q")
@@ -259,6 +266,55 @@ def als_spans(candidates: DataFrame, profiles: DataFrame, keys: list[str]) -> Da
     )
 
 
+def _top_of_tiles(
+    candidates: DataFrame, queries: DataFrame, keys: list[str]
+) -> DataFrame:
+    results = [("track_uri", T.StringType()), ("score", T.DoubleType())]
+    return _tiles(candidates, queries, keys, tiles.top_kernel, results, keep_rows=True)
+
+
+def _with_floors(
+    candidates: DataFrame, queries: DataFrame, keys: list[str], n: int
+) -> DataFrame:
+    """Queries with a score that their ``keep`` best candidates surely reach.
+
+    The keep-th best score among some of the candidates is a lower bound of the
+    keep-th best among all, so items below it need not leave their tile. With b
+    item blocks, a sample of 1 / sqrt(b) of the items cuts the rows that leave
+    the tiles from b * keep to about 2 * sqrt(b) * keep per query. The result
+    does not depend on the sample. The bound is lowered a little because the
+    same product may differ in its last bits between two passes.
+
+    Queries with very many seeds keep so many rows that a bound would not help.
+    """
+    unbounded = F.lit(float("-inf"))
+    blocks = candidates.count() / TILE_ITEMS
+    if blocks < FLOOR_BLOCKS:
+        return queries.withColumn("floor", unbounded)
+    limit = math.ceil(blocks**-0.5 * WORD)
+    drawn = F.pmod(F.xxhash64("track_uri"), F.lit(WORD)) < F.lit(limit)
+    few = queries.filter(F.col("keep") <= 10 * n).withColumn("floor", unbounded)
+    first = _top_of_tiles(candidates.filter(drawn), few, keys)
+    place = F.row_number().over(W.partitionBy(*keys).orderBy(F.desc("score")))
+    floors = (
+        first.withColumn("_place", place)
+        .join(few.select(*keys, "keep"), keys)
+        .filter(F.col("_place") == F.col("keep"))
+        .select(
+            *keys,
+            (
+                F.col("score") - F.greatest(F.lit(1.0), F.abs("score")) * F.lit(1e-9)
+            ).alias("_floor"),
+        )
+    )
+    floors = stage(floors, "floors")
+    return (
+        queries.join(floors, keys, "left")
+        .withColumn("floor", F.coalesce("_floor", unbounded))
+        .drop("_floor")
+    )
+
+
 # --- recommendation lists ----------------------------------------------------
 
 
@@ -344,7 +400,8 @@ def recommend(
     are ordered by track_uri.
 
     A tile keeps n items plus as many as the query has seeds, so n remain
-    however many of the kept ones are seeds.
+    however many of the kept ones are seeds. Large candidate sets are cut by
+    score floors first.
     """
     queries = stage(queries, "queries")
     shared = [k for k in keys if k in seeds.columns]
@@ -360,8 +417,7 @@ def recommend(
             "keep", (F.coalesce(F.col("_excluded"), F.lit(0)) + n).cast("bigint")
         )
     )
-    results = [("track_uri", T.StringType()), ("score", T.DoubleType())]
-    best = _tiles(candidates, dense, keys, tiles.top_kernel, results, keep_rows=True)
+    best = _top_of_tiles(candidates, _with_floors(candidates, dense, keys, n), keys)
     best = best.join(excluded, keys + ["track_uri"], "left_anti")
     order = [F.desc("score"), F.asc("track_uri")]
     lists = top_per_group(best, keys, order, n).select(

@@ -88,11 +88,12 @@ def check(recs, model, n):
 
 
 @pytest.mark.parametrize("model", scoring.MODELS)
-@pytest.mark.parametrize("blocks", ["one", "many"])
+@pytest.mark.parametrize("blocks", ["one", "many", "floors"])
 def test_lists_equal_dense_arrays(spark, tables, monkeypatch, model, blocks):
-    if blocks == "many":
-        monkeypatch.setattr(scoring, "TILE_ITEMS", 4)
+    if blocks != "one":
+        monkeypatch.setattr(scoring, "TILE_ITEMS", 3)
         monkeypatch.setattr(scoring, "TILE_QUERIES", 2)
+        monkeypatch.setattr(scoring, "FLOOR_BLOCKS", 2 if blocks == "floors" else 99)
     baseline, als, word, seeds, queries = tables
     candidates = aligned_candidates(baseline, als, word)
     rows = model_queries(queries, seeds, candidates, als, word, ["pid"], [model])
@@ -151,9 +152,24 @@ def test_padding_follows_the_list_and_skips_what_is_taken(spark, tables):
         assert got == (first + rest)[:6]
 
 
+def test_floors_never_change_a_list(spark, tables, monkeypatch):
+    monkeypatch.setattr(scoring, "TILE_ITEMS", 3)
+    monkeypatch.setattr(scoring, "FLOOR_BLOCKS", 2)
+    baseline, als, word, seeds, queries = tables
+    candidates = aligned_candidates(baseline, als, word)
+    rows = model_queries(queries, seeds, candidates, als, word, ["pid"], ["Hybrid"])
+    dense = rows.filter("als_q IS NOT NULL").withColumn("keep", F.lit(4))
+    floors = scoring._with_floors(candidates, dense, ["pid"], 3)
+    assert not floors.filter(F.col("floor") > float("-inf")).isEmpty()
+    recs = scoring.recommend(candidates, rows.drop("model"), seeds, ["pid"], 3)
+    check(recs, "Hybrid", 3)
+
+
 def test_best_positions_prefers_the_first_of_equals():
     from segue.functions.tiles import best_positions
 
     scores = np.array([1.0, 3.0, 2.0, 3.0, 2.0, 2.0])
-    assert sorted(best_positions(scores, 3)) == [1, 2, 3]
-    assert sorted(best_positions(scores, 9)) == [0, 1, 2, 3, 4, 5]
+    assert sorted(best_positions(scores, 3, -np.inf)) == [1, 2, 3]
+    assert sorted(best_positions(scores, 9, -np.inf)) == [0, 1, 2, 3, 4, 5]
+    assert sorted(best_positions(scores, 9, 2.5)) == [1, 3]
+    assert sorted(best_positions(scores, 3, 2.0)) == [1, 2, 3]
