@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from segue.operators.joins import lookup_join
 from segue.operators.ranking import global_rank
+from segue.sources.storage import stage
 
 
 def item_counts(playlist_tracks: DataFrame) -> DataFrame:
@@ -34,7 +35,7 @@ def artist_popularity(playlist_tracks: DataFrame, tracks: DataFrame) -> DataFram
     """
     artist = ["artist_uri", "artist_name"]
     labels = tracks.select("track_uri", *artist)
-    counts = item_counts(playlist_tracks)
+    counts = stage(item_counts(playlist_tracks), "item_counts")
     totals = (
         counts.join(labels, "track_uri")
         .groupBy(*artist)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from segue.sources.storage import stage
+
 # A key is hot when it holds more than this share of the left rows, so there
 # are never more than 1 / HOT_SHARE hot keys and broadcasting them is safe.
 HOT_SHARE = 1 / 512
@@ -41,14 +43,18 @@ def spread_join(
     results. The part follows from the row and its input partition, which a
     repeated task finds unchanged; a random number it would not.
 
-    ``counts`` (keys, n), when the caller has them, saves counting the left keys.
-    No side is hinted: Spark still broadcasts the right one when its measured
-    size allows that.
+    ``counts`` (keys, n), when the caller has them stored, saves counting the
+    left keys. The hot keys are written down, so both sides split alike; without
+    any, this is a plain join. No side is hinted: Spark still broadcasts the
+    right one when its measured size allows that.
     """
     keys = [on] if isinstance(on, str) else list(on)
     if counts is None:
-        counts = left.groupBy(*keys).agg(F.count("*").alias("n"))
-    hot = F.broadcast(hot_keys(counts, keys, share))
+        counts = stage(left.groupBy(*keys).agg(F.count("*").alias("n")), "counts")
+    hot = stage(hot_keys(counts, keys, share), "hot")
+    if hot.isEmpty():
+        return left.join(right, keys, how)
+    hot = F.broadcast(hot)
     spot = F.xxhash64(*left.columns) + F.spark_partition_id()
     salted = left.join(hot, keys, "left").withColumn(
         "_part",

@@ -19,7 +19,10 @@ def global_rank(counts: DataFrame, by: str, name: str) -> DataFrame:
     different sum to at least v * (v + 1) / 2, so N underlying rows give at most
     sqrt(2 N) histogram rows (4.5 million for 10^13): small enough for one
     window task and for the broadcast, and never the counted table itself.
+
+    The counts are staged, as they are read for the histogram and for the result.
     """
+    counts = stage(counts, name)
     histogram = counts.groupBy(by).agg(F.count("*").alias("_rows"))
     greater = W.orderBy(F.desc(by)).rowsBetween(W.unboundedPreceding, -1)
     ranks = histogram.select(
@@ -70,8 +73,9 @@ def group_positions(
 
     ``coarse`` is a column that never decreases along ``order`` (a date for a
     time order). Rows are numbered inside (group, coarse) and shifted by the
-    size of the earlier pieces, so no task sorts a whole large group. Keys and
-    ``coarse`` must not be NULL.
+    size of the earlier pieces, so no task sorts a whole large group. The sizes
+    come from a second pass that reads the keys alone and combines before its
+    shuffle. Keys and ``coarse`` must not be NULL.
     """
     piece = keys + [coarse]
     numbered = df.withColumn(
@@ -79,8 +83,8 @@ def group_positions(
     )
     before = W.partitionBy(*keys).orderBy(coarse).rowsBetween(W.unboundedPreceding, -1)
     offsets = (
-        numbered.groupBy(*piece)
-        .agg(F.max("_local").alias("_size"))
+        df.groupBy(*piece)
+        .agg(F.count("*").alias("_size"))
         .select(*piece, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_off"))
     )
     return numbered.join(offsets, piece).select(

@@ -50,7 +50,7 @@ VECTOR_ROWS = 100_000
 cloudpickle.register_pickle_by_value(tiles)
 
 # From this many item blocks on, a sample of the items is scored first.
-FLOOR_BLOCKS = 8
+FLOOR_BLOCKS = 32
 
 # Longest head of the popularity list that one task sorts and that is broadcast.
 HEAD_ROWS = 100_000
