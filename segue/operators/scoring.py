@@ -417,6 +417,8 @@ def recommend(
             "keep", (F.coalesce(F.col("_excluded"), F.lit(0)) + n).cast("bigint")
         )
     )
+    if dense.isEmpty():
+        return _popular_lists(candidates, plain, excluded, keys)
     best = _top_of_tiles(candidates, _with_floors(candidates, dense, keys, n), keys)
     best = best.join(excluded, keys + ["track_uri"], "left_anti")
     order = [F.desc("score"), F.asc("track_uri")]

@@ -54,11 +54,10 @@ def train_split(playlist_tracks: DataFrame, reserved: DataFrame) -> DataFrame:
 
 def split_counts(playlist_tracks: DataFrame, reserved: DataFrame) -> DataFrame:
     """Reserved playlists, kept rows and removed rows, in one pass over the rows."""
-    marks = F.broadcast(reserved.select("pid", F.lit(True).alias("_held")))
+    marks = reserved.select("pid", F.lit(True).alias("_held"))
+    sizes = playlist_tracks.groupBy("pid").agg(F.count("*").alias("n"))
     return (
-        playlist_tracks.join(marks, "pid", "left")
-        .groupBy("pid")
-        .agg(F.count("*").alias("n"), F.max("_held").alias("_held"))
+        lookup_join(sizes, marks, "pid", "left")
         .agg(
             F.count("_held").alias("validation_playlists"),
             F.coalesce(F.sum(F.when(F.col("_held").isNull(), F.col("n"))), F.lit(0)).alias(

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from segue.sources.storage import stage
+
 
 def verify_recommendations(
     recs: DataFrame, requests: DataFrame, seeds: DataFrame, n: int = 500
@@ -19,10 +21,15 @@ def verify_recommendations(
     * ``seed_overlap``: seeds recommended; detail is the number of such seeds
     """
     # (pid, item) first: the second step counts different items without
-    # gathering them.
-    items = recs.groupBy("pid", "track_uri").agg(F.count("*").alias("times"))
-    lists = items.groupBy("pid").agg(
-        F.sum("times").alias("listed"), F.count("*").alias("different")
+    # gathering them. Both are read by several of the checks.
+    items = stage(
+        recs.groupBy("pid", "track_uri").agg(F.count("*").alias("times")), "items"
+    )
+    lists = stage(
+        items.groupBy("pid").agg(
+            F.sum("times").alias("listed"), F.count("*").alias("different")
+        ),
+        "lists",
     )
     asked = requests.select("pid").distinct()
     unknown = lists.join(asked, "pid", "left_anti")
