@@ -7,6 +7,7 @@ shares nothing with the Spark side but the question.
 from __future__ import annotations
 
 from segue.plans.queries import (
+    ALS_SMALL,
     FRACTION,
     LONG,
     MIN_PAIRS,
@@ -15,6 +16,7 @@ from segue.plans.queries import (
     SCENARIOS,
     SIMILAR_TO,
     TOP_ITEMS,
+    WORD2VEC_SMALL,
 )
 
 
@@ -521,7 +523,7 @@ def oracle_sql() -> dict[str, str]:
         SELECT scenario, pid, model, round(r_precision, 6) AS r_precision,
                round(ndcg, 6) AS ndcg, clicks FROM metrics""",
     )
-    sql["eval_summary"] = _with(
+    sql["eval_summary"] = sql["metrics_roundtrip"] = _with(
         ["summary"],
         """
         SELECT scenario, model, round(r_precision, 6) AS r_precision,
@@ -556,7 +558,7 @@ def oracle_sql() -> dict[str, str]:
                name IS NOT NULL AS has_title, count(*) AS requests
         FROM requests GROUP BY 1, 2""",
     )
-    sql["requests_hybrid"] = _requested(
+    sql["recommend_requests"] = sql["export_roundtrip"] = _requested(
         "SELECT pid, track_uri, rank FROM recs WHERE model = 'Hybrid'"
     )
     sql["export_recommendations"] = _requested(
@@ -565,7 +567,7 @@ def oracle_sql() -> dict[str, str]:
                     || string_agg(track_uri, ', ' ORDER BY rank) AS line
         FROM recs WHERE model = 'Hybrid' GROUP BY pid"""
     )
-    sql["verify_lists"] = _with(
+    sql["verify_recommendations"] = _with(
         ["requests", "validation", "candidates"],
         f"""
         , head AS (SELECT track_uri FROM candidates
@@ -585,4 +587,14 @@ def oracle_sql() -> dict[str, str]:
                CAST(count(*) AS DOUBLE) AS rating
         FROM train JOIN ids USING (track_uri) GROUP BY 1, 2""",
     )
+    sql["als_item_dims"] = _with(
+        ["ids"], f"SELECT track_uri, CAST({ALS_SMALL['rank']} AS BIGINT) AS dim FROM ids"
+    )
+    sql["word_vocabulary"] = _with(
+        ["train"],
+        f"""
+        SELECT track_uri, CAST({WORD2VEC_SMALL['vectorSize']} AS BIGINT) AS dim
+        FROM (SELECT *, count(*) OVER (PARTITION BY pid) AS whole FROM train)
+        WHERE whole >= 5 GROUP BY track_uri HAVING count(*) >= 5""",
+    )
     return sql

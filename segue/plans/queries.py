@@ -24,8 +24,7 @@ from segue.plans.continuation import (
     scenario_lists,
     split_tables,
 )
-from segue.sources import purchases
-from segue.sources.export import recommendation_lines
+from segue.sources import export, purchases
 from segue.sources.slices import read_requests, read_slices, request_seeds
 from segue.sources.storage import register_views, scratch_path, stage
 
@@ -401,6 +400,13 @@ def eval_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def metrics_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary as the metric sink stores it."""
+    path = scratch_path(spark, "metrics")
+    export.write_metrics(eval_summary(spark, sf_dir), path)
+    return spark.read.parquet(f"{path}/parquet")
+
+
 def best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     summary = evaluate.summarize(_metrics(spark, sf_dir))
     best = evaluate.best_model(summary, scoring.MODELS)
@@ -472,7 +478,15 @@ def requests_hybrid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def export_recommendations(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, _, recs = _request_lists(spark, sf_dir)
-    return recommendation_lines(recs, N)
+    return export.recommendation_lines(recs, N)
+
+
+def export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lists written as gzipped lines and read back."""
+    _, _, recs = _request_lists(spark, sf_dir)
+    path = scratch_path(spark, "export")
+    export.export_recommendations(recs, path, N)
+    return export.read_recommendations(spark, path)
 
 
 def verify_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -510,6 +524,18 @@ def als_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def als_item_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which items got an ALS vector, and how long it is."""
+    _, id_map, model = _als(spark, sf_dir)
+    vectors = models.als_item_vectors(model, id_map)
+    return vectors.select("track_uri", F.size("features").cast("bigint").alias("dim"))
+
+
+def als_user_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, _, model = _als(spark, sf_dir)
+    return models.als_user_vectors(model)
+
+
 def fit_als(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, id_map, model = _als(spark, sf_dir)
     return models.als_item_vectors(model, id_map)
@@ -534,6 +560,12 @@ def als_recommend_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.als_recommend_unseen(model, users, 10, id_map, seen)
 
 
+def word_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which items got a word vector, and how long it is."""
+    vectors = fit_word2vec(spark, sf_dir)
+    return vectors.select("track_uri", F.size("features").cast("bigint").alias("dim"))
+
+
 def fit_word2vec(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = purchases.playlist_tracks(spark, sf_dir)
     train = splits.train_split(rows, _reserved(spark, sf_dir))
@@ -589,14 +621,24 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         eval_summary,
         best_model,
         improvement,
+        metrics_roundtrip,
         request_scenarios,
         requests_hybrid,
         export_recommendations,
+        export_roundtrip,
         verify_lists,
         als_ratings,
+        als_item_dims,
+        als_user_vectors,
         fit_als,
         als_recommend,
         als_recommend_unseen,
+        word_vocabulary,
         fit_word2vec,
     ]
-    return {query.__name__: query for query in registered}
+    # Two queries share their names with the operators they run.
+    names = {
+        "requests_hybrid": "recommend_requests",
+        "verify_lists": "verify_recommendations",
+    }
+    return {names.get(q.__name__, q.__name__): q for q in registered}
