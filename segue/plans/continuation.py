@@ -34,7 +34,10 @@ from segue.sources.storage import stage
 
 @dataclass
 class Split:
-    """Tables that training and evaluation start from, all written down."""
+    """Tables that training and evaluation start from.
+
+    All are written down but ``train``, which is the given rows behind a filter.
+    """
 
     reserved: DataFrame
     train: DataFrame
@@ -50,10 +53,13 @@ def split_tables(
     fraction: float,
     cap: int = 2_000,
 ) -> Split:
-    rows = stage(playlist_tracks, "playlist_tracks")
+    """Reserve playlists and part the rows; ``playlist_tracks`` is a stored table.
+
+    The reserved list is short and broadcast, so neither part shuffles the rows.
+    """
     reserved = stage(reserve_validation(playlists, min_length, fraction, cap), "reserved")
-    train = train_split(rows, reserved)
-    validation = stage(validation_split(rows, reserved), "validation")
+    train = train_split(playlist_tracks, reserved)
+    validation = stage(validation_split(playlist_tracks, reserved), "validation")
     baseline = stage(pop_baseline(train), "baseline")
     known = stage(in_vocabulary(validation, baseline), "known")
     return Split(reserved, train, validation, baseline, known)

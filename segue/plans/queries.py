@@ -203,7 +203,7 @@ def _reserved(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _split(spark: SparkSession, sf_dir: str) -> Split:
     return split_tables(
         purchases.headers(spark, sf_dir),
-        purchases.playlist_tracks(spark, sf_dir),
+        stage(purchases.playlist_tracks(spark, sf_dir), "playlist_tracks"),
         LONG,
         FRACTION,
     )
