@@ -97,10 +97,29 @@ WITH rules(rule, host, path, verdict) AS (VALUES
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM matched WHERE n = 1
 """
 
+_TOPK = r"""
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256::DOUBLE * x::DOUBLE) AS BIGINT)) AS e
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(list_dot_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id
+    WHERE q.vec_id % 50 = 0
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_line_dedup": _LINE_DEDUP,
         "op3_mixing": _MIXING,
         "op6_url_filter": _URL_FILTER,
+        "op7_topk": _TOPK,
     }

@@ -9,7 +9,16 @@ from pyspark.sql import functions as F
 
 from segue.llm.line_dedup import line_dedup
 from segue.llm.mixing import mix
+from segue.llm.prefix_tokens import prefix_tokens
+from segue.llm.quality import classify
+from segue.llm.token_files import read_token_files, write_token_files
+from segue.llm.topk import top_k
 from segue.llm.url_filter import Rule, url_filter
+from segue.sources.storage import scratch_path
+
+TOKEN_BUDGET = 1024
+END_ID = 1
+TOP_K = 5
 
 URL_RULES = (
     Rule("allow", "com", "/"),
@@ -31,16 +40,51 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer(name: str) -> str:
+    """Path of a public vocabulary file, the same on all machines."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = prefix_tokens(
+        _table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), TOKEN_BUDGET
+    )
+    return counted.select(
+        "doc_id",
+        "n_bytes",
+        "n_tokens",
+        (F.col("n_tokens") > TOKEN_BUDGET).alias("over_limit"),
+        "kept_chars",
+    )
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
     )
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    docs = _table(spark, sf_dir, "documents")
+    write_token_files(docs, path, tokenizer("word_bpe_49k.json"), END_ID)
+    return read_token_files(spark, path)
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(_table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, TOP_K)
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = {n: f for n, f in globals().items() if n.startswith("op")}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
