@@ -22,7 +22,7 @@ SHARD_TOKENS = 1 << 19
 
 _FILE = (
     "part int, shard int, n_tokens bigint, symbols binary, doc_ids array<bigint>, "
-    "doc_tokens array<bigint>, planes array<binary>, ones array<binary>"
+    "doc_tokens array<bigint>, planes array<binary>"
 )
 _WORD = re.compile(f"[^{LIBRARY_SPACE}]+")
 # The vocabulary's pattern, for lower-case text of Latin-1 letters and ASCII alone.
@@ -93,7 +93,7 @@ def write_token_files(
     shards of about ``shard_tokens`` tokens (a longer document is one shard). A
     shard is one row of a compressed Parquet file: its documents with their
     numbers of tokens, the ids it holds by falling frequency, and the bit planes
-    of a wavelet matrix over their places in that list with rank directories. ``end_id`` follows every document.
+    of a wavelet matrix over their places in that list. ``end_id`` follows every document.
 
     A NULL text is an empty one and has the end id alone. Rows with a NULL id
     come last; rows with the same id follow each other, ordered by a hash of the
@@ -117,7 +117,7 @@ def write_token_files(
             codes = np.zeros(len(counts), encoder.kind)
             codes[symbols] = np.arange(len(symbols))
             levels = max(1, (len(symbols) - 1).bit_length())
-            planes, ones = WaveletMatrix.build(codes[values], levels).dump()
+            planes = WaveletMatrix.build(codes[values], levels).dump()
             width = encoder.kind().itemsize
             return pa.RecordBatch.from_pylist(
                 [
@@ -129,7 +129,6 @@ def write_token_files(
                         "doc_ids": ids,
                         "doc_tokens": [len(p) // width for p in pieces],
                         "planes": planes,
-                        "ones": ones,
                     }
                 ],
                 schema,
@@ -155,7 +154,6 @@ def write_token_files(
             ("doc_ids", pa.list_(pa.int64())),
             ("doc_tokens", pa.list_(pa.int64())),
             ("planes", pa.list_(pa.binary())),
-            ("ones", pa.list_(pa.binary())),
         ]
     )
     rows = docs.select(
@@ -185,7 +183,7 @@ def read_token_files(spark: SparkSession, path: str, id_col: str = "doc_id") ->
         for batch in batches:
             for row in range(batch.num_rows):
                 one = batch.slice(row, 1).to_pylist()[0]
-                matrix = WaveletMatrix.load(one["planes"], one["ones"], one["n_tokens"])
+                matrix = WaveletMatrix.load(one["planes"], one["n_tokens"])
                 symbols = np.frombuffer(one["symbols"], "<u4")
                 ids = symbols[matrix.decode(np.uint16 if len(symbols) <= 1 << 16 else np.uint32)]
                 counts = one["doc_tokens"]
@@ -230,7 +228,7 @@ def read_token_files(spark: SparkSession, path: str, id_col: str = "doc_id") ->
         .select("part", "shard", (F.col("base") + F.col("offset")).alias("first"))
     )
     decoded = files.select(
-        "part", "shard", "n_tokens", "symbols", "doc_ids", "doc_tokens", "planes", "ones"
+        "part", "shard", "n_tokens", "symbols", "doc_ids", "doc_tokens", "planes"
     ).mapInArrow(
         documents,
         "id bigint, part int, shard int, inside bigint, n_tokens bigint, ids_crc32 bigint",

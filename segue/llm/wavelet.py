@@ -2,31 +2,44 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 import numpy as np
 
-BLOCK = 512  # bits per entry of a rank directory
+WORD = 64  # bits per entry of the rank directory
 
 
 class Plane:
-    """A bit vector with the number of ones before every block."""
+    """A bit vector whose ones can be counted and found.
+
+    Its directory, the ones before every 64-bit word, takes one pass over the
+    words and is made when it is first asked for.
+    """
 
-    def __init__(self, packed: np.ndarray, size: int, ones: np.ndarray):
-        self.packed, self.size, self.ones = packed, size, ones
-        self.zeros = size - int(ones[-1])
+    def __init__(self, packed: np.ndarray, size: int):
+        self.packed, self.size = packed, size
+        self.words = packed.view(np.uint64)
 
     @classmethod
     def build(cls, bits: np.ndarray) -> Plane:
         packed = np.packbits(bits, bitorder="little")
-        padded = np.zeros(-(-max(len(packed), 1) * 8 // BLOCK) * (BLOCK // 8), np.uint8)
+        padded = np.zeros((len(bits) // WORD + 1) * (WORD // 8), np.uint8)
         padded[: len(packed)] = packed
-        counts = np.bitwise_count(padded.view(np.uint64)).reshape(-1, BLOCK // 64)
-        ones = np.zeros(len(counts) + 1, np.uint32)
-        np.cumsum(counts.sum(axis=1, dtype=np.uint32), out=ones[1:])
-        return cls(padded, len(bits), ones)
+        return cls(padded, len(bits))
 
     @classmethod
-    def load(cls, packed: bytes, size: int, ones: bytes) -> Plane:
-        return cls(np.frombuffer(packed, np.uint8), size, np.frombuffer(ones, np.uint32))
+    def load(cls, packed: bytes, size: int) -> Plane:
+        return cls(np.frombuffer(packed, np.uint8), size)
+
+    @cached_property
+    def ones(self) -> np.ndarray:
+        found = np.zeros(len(self.words) + 1, np.int64)
+        np.cumsum(np.bitwise_count(self.words), out=found[1:])
+        return found
+
+    @cached_property
+    def zeros(self) -> int:
+        return self.size - int(np.bitwise_count(self.words).sum(dtype=np.int64))
 
     def bits(self) -> np.ndarray:
         return np.unpackbits(self.packed, count=self.size, bitorder="little").view(bool)
@@ -36,31 +49,19 @@ class Plane:
 
     def rank1(self, at: np.ndarray) -> np.ndarray:
         """Ones before each position (0 to size)."""
-        block = at // BLOCK
-        found = self.ones[block].astype(np.int64)
-        words = self.packed.view(np.uint64)
-        word, first = at >> 6, block * (BLOCK // 64)
-        for step in range(BLOCK // 64):
-            here = first + step
-            inside = here < word
-            if not inside.any():
-                break
-            safe = np.minimum(here, len(words) - 1)
-            found += np.where(inside, np.bitwise_count(words[safe]), 0)
-        rest = (at & 63).astype(np.uint64)
-        mask = (np.uint64(1) << rest) - np.uint64(1)
-        return found + np.bitwise_count(words[np.minimum(word, len(words) - 1)] & mask)
+        word = at >> 6
+        below = (np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1)
+        return self.ones[word] + np.bitwise_count(self.words[word] & below)
 
     def select(self, wanted: np.ndarray, one: bool) -> np.ndarray:
         """Position of the wanted-th (from 0) one or zero."""
-        starts = np.arange(len(self.ones), dtype=np.int64) * BLOCK
-        before = self.ones.astype(np.int64) if one else starts - self.ones
-        block = np.searchsorted(before, wanted, side="right") - 1
+        before = self.ones if one else np.arange(len(self.ones)) * WORD - self.ones
+        word = np.searchsorted(before, wanted, side="right") - 1
         bits = np.unpackbits(
-            self.packed.reshape(-1, BLOCK // 8)[block], axis=1, bitorder="little"
+            self.packed.reshape(-1, WORD // 8)[word], axis=1, bitorder="little"
         )
         running = np.cumsum(bits == one, axis=1)
-        return block * BLOCK + (running <= (wanted - before[block])[:, None]).sum(axis=1)
+        return word * WORD + (running <= (wanted - before[word])[:, None]).sum(axis=1)
 
 
 class WaveletMatrix:
@@ -82,14 +83,12 @@ class WaveletMatrix:
             now = np.concatenate([now[~bits], now[bits]])
         return cls(planes, len(values))
 
-    def dump(self) -> tuple[list[bytes], list[bytes]]:
-        return [p.packed.tobytes() for p in self.planes], [p.ones.tobytes() for p in self.planes]
+    def dump(self) -> list[bytes]:
+        return [p.packed.tobytes() for p in self.planes]
 
     @classmethod
-    def load(cls, packed: list[bytes], ones: list[bytes], size: int) -> WaveletMatrix:
-        return cls(
-            [Plane.load(p, size, o) for p, o in zip(packed, ones, strict=True)], size
-        )
+    def load(cls, packed: list[bytes], size: int) -> WaveletMatrix:
+        return cls([Plane.load(p, size) for p in packed], size)
 
     def decode(self, kind=np.uint32) -> np.ndarray:
         """The whole sequence, by undoing the planes from the last to the first."""
@@ -102,26 +101,31 @@ class WaveletMatrix:
             now = before
         return now
 
-    def access(self, at: np.ndarray) -> np.ndarray:
-        """The numbers at some positions."""
+    def descend(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers at some positions, and where they lie after the last plane."""
         at = np.asarray(at, np.int64)
         values = np.zeros(len(at), np.int64)
         for plane in self.planes:
             bits, ones = plane.get(at), plane.rank1(at)
             at = np.where(bits, plane.zeros + ones, at - ones)
             values = values << 1 | bits
-        return values
+        return values, at
+
+    def access(self, at: np.ndarray) -> np.ndarray:
+        """The numbers at some positions."""
+        return self.descend(at)[0]
+
+    def follow(self, value: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Where the first ``value`` at or after each position lies after the last plane."""
+        value, at = np.asarray(value, np.int64), np.asarray(at, np.int64)
+        for level, plane in zip(reversed(range(len(self.planes))), self.planes, strict=True):
+            ones = plane.rank1(at)
+            at = np.where(value >> level & 1, plane.zeros + ones, at - ones)
+        return at
 
     def rank(self, value: np.ndarray, at: np.ndarray) -> np.ndarray:
         """How often each value occurs before each position."""
-        value = np.asarray(value, np.int64)
-        begin, end = np.zeros_like(value), np.asarray(at, np.int64)
-        for level, plane in zip(reversed(range(len(self.planes))), self.planes, strict=True):
-            bits = (value >> level & 1).astype(bool)
-            low, high = plane.rank1(begin), plane.rank1(end)
-            begin = np.where(bits, plane.zeros + low, begin - low)
-            end = np.where(bits, plane.zeros + high, end - high)
-        return end - begin
+        return self.follow(value, at) - self.follow(value, np.zeros_like(at))
 
     def occurrences(self, value: int) -> np.ndarray:
         """All positions of a value, ascending."""
