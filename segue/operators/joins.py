@@ -75,8 +75,12 @@ def spread_join(
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``limit`` rows, counting no further than that."""
-    return df.limit(limit + 1).count() <= limit
+    """Whether ``df`` has at most ``limit`` rows.
+
+    A plain count: every task sends one number, whereas a limit would send up to
+    that many rows of each task to a single one.
+    """
+    return df.count() <= limit
 
 
 def lookup_join(
