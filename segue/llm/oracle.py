@@ -115,6 +115,43 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
+_DECONTAMINATION = r"""
+WITH doc_words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), item_words AS (
+    SELECT item_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), windows AS (
+    SELECT DISTINCT item_id, least(13, len(w)) AS n,
+           list_slice(w, i, i + least(13, len(w)) - 1) AS phrase
+    FROM item_words, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS t(i)
+    WHERE len(w) > 0
+), sizes AS (
+    SELECT DISTINCT n FROM windows
+), runs AS (
+    SELECT doc_id, i, n, list_slice(w, i, i + n - 1) AS phrase
+    FROM doc_words, sizes, unnest(range(1, len(w) - n + 2)) AS t(i)
+    WHERE len(w) >= n
+), hits AS (
+    SELECT r.doc_id, r.i, r.n, w.item_id FROM runs r JOIN windows w ON r.n = w.n AND r.phrase = w.phrase
+), per_doc AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit
+    FROM (SELECT DISTINCT doc_id, i, n FROM hits), unnest(range(i, i + n)) AS t(p) GROUP BY doc_id
+), per_items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hits) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(p.n_hit, 0) AS n_hit,
+       coalesce(i.n_items, 0) AS n_items, sha256(coalesce(i.ids, '')) AS items_sha256,
+       coalesce(p.n_hit, 0) > 0 AND 20 * coalesce(p.n_hit, 0) >= len(d.w) AS contaminated
+FROM doc_words d LEFT JOIN per_doc p USING (doc_id) LEFT JOIN per_items i USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -122,4 +159,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_mixing": _MIXING,
         "op6_url_filter": _URL_FILTER,
         "op7_topk": _TOPK,
+        "op9_decontamination": _DECONTAMINATION,
     }

@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from segue.llm.decontaminate import contamination
 from segue.llm.line_dedup import line_dedup
 from segue.llm.mixing import mix
+from segue.llm.near_dups import near_duplicates
 from segue.llm.prefix_tokens import prefix_tokens
 from segue.llm.quality import classify
 from segue.llm.token_files import read_token_files, write_token_files
@@ -81,6 +83,24 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, TOP_K)
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "class_id", "class_texts"
+    )
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 

@@ -110,6 +110,11 @@ def chunks(texts: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int,
         begin = end
 
 
+def all_words(texts: pa.Array) -> Words:
+    """The words of some texts in one go; for few texts."""
+    return Words(*text_buffer(texts))
+
+
 def shingles(words: Words, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash, text index) of every run of ``size`` words.
 
