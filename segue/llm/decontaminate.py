@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from segue.llm.fm_index import FmIndex
 from segue.llm.words import chunks
+from segue.operators.joins import fits_broadcast
 from segue.sources.storage import scratch_path, stage
 
 WINDOW = 13
@@ -299,6 +300,7 @@ def clean_rows(
         found.filter("contaminated").select(F.col(id_col).alias("_id"), F.col("version").alias("_v")).distinct(),
         "contaminated",
     )
+    bad = F.broadcast(bad) if fits_broadcast(bad) else bad.hint("shuffle_hash")
     return docs.join(
         bad,
         F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_v")),

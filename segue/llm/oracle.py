@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from segue.llm.licenses import NOTICES
+
 _LINE_DEDUP = r"""
 WITH lines AS (
     SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -152,11 +154,75 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(p.n_hit, 0) AS n_
 FROM doc_words d LEFT JOIN per_doc p USING (doc_id) LEFT JOIN per_items i USING (doc_id)
 """
 
+_LICENSES = r"""
+WITH notices(name, notice) AS (VALUES
+__NOTICES__
+), files AS (
+    SELECT doc_id, text,
+           concat_ws('/', source, lang,
+               CASE WHEN n_chars >= 1000 THEN CAST(doc_id // 1000 AS VARCHAR) END) AS folder
+    FROM documents
+), total AS (
+    SELECT count(*) AS n FROM files
+), notice_words AS (
+    SELECT name, w, count(*) AS n
+    FROM notices, unnest(regexp_extract_all(lower(notice), '[\p{L}\p{N}]+')) AS t(w) GROUP BY name, w
+), df AS (
+    SELECT w, count(DISTINCT doc_id) AS df
+    FROM files, unnest(list_distinct(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+'))) AS t(w)
+    WHERE w IN (SELECT w FROM notice_words) GROUP BY w
+), idf AS (
+    SELECT w, ln((1 + total.n) / CAST(1 + coalesce(df.df, 0) AS DOUBLE)) + 1 AS idf
+    FROM (SELECT DISTINCT w FROM notice_words) LEFT JOIN df USING (w), total
+), vectors AS (
+    SELECT name, w, n * idf / sqrt(sum(n * n * idf * idf) OVER (PARTITION BY name)) AS x
+    FROM notice_words JOIN idf USING (w)
+), lines AS (
+    SELECT doc_id, folder, length(text) AS chars, unnest(string_split(text, chr(10))) AS line,
+           generate_subscripts(string_split(text, chr(10)), 1) AS pos
+    FROM files
+), line_words AS (
+    SELECT doc_id, folder, chars, pos, length(line) AS size, w, count(*) AS n
+    FROM lines, unnest(regexp_extract_all(lower(line), '[\p{L}\p{N}]+')) AS t(w) GROUP BY ALL
+), weighed AS (
+    SELECT l.*, l.n * coalesce(i.idf, ln(CAST(1 + total.n AS DOUBLE)) + 1) AS x
+    FROM line_words l LEFT JOIN idf i USING (w), total
+), norms AS (
+    SELECT doc_id, folder, chars, pos, size, sqrt(sum(x * x)) AS norm FROM weighed GROUP BY ALL
+), cosines AS (
+    SELECT n.doc_id, n.folder, n.chars, n.pos, n.size, v.name, round(sum(g.x * v.x) / any_value(n.norm), 6) AS cosine
+    FROM weighed g JOIN vectors v USING (w) JOIN norms n ON g.doc_id = n.doc_id AND g.pos = n.pos
+    GROUP BY ALL HAVING cosine >= 0.8
+), line_best AS (
+    SELECT * FROM cosines QUALIFY row_number() OVER (PARTITION BY doc_id, pos ORDER BY cosine DESC, name) = 1
+), own AS (
+    SELECT doc_id, folder, chars, sum(size) AS size,
+           first(name ORDER BY cosine DESC, name) AS own_license, max(cosine) AS cosine
+    FROM line_best GROUP BY doc_id, folder, chars
+), folders AS (
+    SELECT folder, own_license AS name FROM own WHERE size >= chars * 0.1::DOUBLE GROUP BY folder, own_license
+    QUALIFY row_number() OVER (PARTITION BY folder ORDER BY count(*) DESC, own_license) = 1
+), inherited AS (
+    SELECT f.folder, g.folder AS inherited_from, g.name AS inherited_license
+    FROM (SELECT DISTINCT folder FROM files) f JOIN folders g
+      ON f.folder = g.folder OR starts_with(f.folder, g.folder || '/')
+    QUALIFY row_number() OVER (PARTITION BY f.folder ORDER BY length(g.folder) DESC) = 1
+)
+SELECT f.doc_id, o.own_license, o.cosine,
+       CASE WHEN o.doc_id IS NULL THEN i.inherited_license END AS inherited_license,
+       CASE WHEN o.doc_id IS NULL THEN i.inherited_from END AS inherited_from,
+       coalesce(o.own_license, i.inherited_license) AS license
+FROM files f LEFT JOIN own o USING (doc_id) LEFT JOIN inherited i ON f.folder = i.folder
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_line_dedup": _LINE_DEDUP,
         "op3_mixing": _MIXING,
+        "op5_licenses": _LICENSES.replace(
+            "__NOTICES__", ",\n".join(f"    ('{name}', '{text}')" for name, text in NOTICES)
+        ),
         "op6_url_filter": _URL_FILTER,
         "op7_topk": _TOPK,
         "op9_decontamination": _DECONTAMINATION,

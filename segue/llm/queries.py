@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segue.llm.decontaminate import contamination
+from segue.llm.licenses import license_scan
 from segue.llm.line_dedup import line_dedup
 from segue.llm.mixing import mix
 from segue.llm.near_dups import near_duplicates
@@ -21,6 +22,8 @@ from segue.sources.storage import scratch_path
 TOKEN_BUDGET = 1024
 END_ID = 1
 TOP_K = 5
+SHORT_CHARS = 1000
+FOLDER_IDS = 1000
 
 URL_RULES = (
     Rule("allow", "com", "/"),
@@ -75,6 +78,17 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path)
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of a tree: short ones in source/lang, others a level below."""
+    docs = _table(spark, sf_dir, "documents")
+    below = F.when(
+        F.col("n_chars") >= SHORT_CHARS,
+        F.floor(F.col("doc_id") / FOLDER_IDS).cast("string"),
+    )
+    folder = F.concat_ws("/", "source", "lang", below)
+    return license_scan(docs.select("doc_id", folder.alias("folder"), "text"))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(_table(spark, sf_dir, "pages"), URL_RULES)
 
