@@ -5,8 +5,8 @@ from __future__ import annotations
 import json
 import re
 from array import array
+from codecs import charmap_decode
 from collections.abc import Iterator
-from itertools import accumulate
 from operator import sub
 
 import numpy as np
@@ -22,7 +22,7 @@ LIBRARY_SPACE = (
 )
 # Word endings that the library's pattern cuts off.
 # fixed values
-CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
+CONTRACTIONS = {"'s", "'t", "'re", "'ve", "'m", "'ll", "'d"}
 
 # White space followed by other characters: no piece of the library's pattern
 # crosses from the second to the first, for a whole text and for any prefix.
@@ -33,9 +33,11 @@ _LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
 _COMMON = re.compile(f"[\\x00-\\x7f{_LATIN}]*")
 # The library's pattern, for text of such letters and ASCII alone.
 _COMMON_PIECE = re.compile(
-    f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LATIN}]+| ?[0-9]+| ?[^\\t-\\r {_LATIN}0-9]+"
+    f" ?[{_LATIN}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[0-9]+| ?[^\\t-\\r {_LATIN}0-9]+"
     "|[\\t-\\r ]+(?![^\\t-\\r ])|[\\t-\\r ]+"
 )
+# Where a prefix may be cut differently from the whole text.
+_SPACE_RUN = re.compile(r"[\t-\r ]{2}")
 # Byte-level vocabularies write bytes as characters: printable ones as they are,
 # the others from U+0100 upwards.
 _SHIFTED = {
@@ -44,14 +46,17 @@ _SHIFTED = {
         b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or 174 <= b)
     )
 }
+_SYMBOLS = "".join(chr(_SHIFTED.get(b, b)) for b in range(256))
+# Symbols of bytes inside a character.
+_INNER = {chr(_SHIFTED.get(b, b)) for b in range(0x80, 0xC0)}
 
-CACHED = 300_000  # entries of each cache of a worker
+CACHED = 600_000  # entries of each cache of a worker
 CACHED_CHARS = 64  # longer units are not cached
 
 
 def byte_symbols(text: str) -> str:
     """A text as byte-level vocabularies write it: one symbol per byte."""
-    return text.encode().decode("latin-1").translate(_SHIFTED)
+    return charmap_decode(text.encode(), "strict", _SYMBOLS)[0]
 
 
 class _Cache(dict):
@@ -102,10 +107,8 @@ class PrefixCounter:
         self.units = _Cache(self._unit)
 
     def _may_follow(self, left: str, right: str) -> bool:
-        known = self.neighbours.get((left, right))
-        if known is None:
-            known = self.neighbours[left, right] = self._stay_apart(left, right)
-        return known
+        fits = self.neighbours[left, right] = self._stay_apart(left, right)
+        return fits
 
     def _stay_apart(self, left: str, right: str) -> bool:
         """Whether merging the joined bytes leaves both tokens.
@@ -131,33 +134,40 @@ class PrefixCounter:
 
     def _counts(self, symbols: str) -> list[int]:
         """Counts after each byte of one piece of the library's pattern."""
-        size, states = len(symbols), self.states
-        known = size
-        while known and symbols[:known] not in states:
-            known -= 1
-        last, counts = [""] * (size + 1), [0] * (size + 1)
-        for end in range(1, known + 1):
-            last[end], counts[end] = states[symbols[:end]]
-        for end in range(known + 1, size + 1):
-            for begin in range(max(0, end - self.longest), end):
+        size, states, vocab, near = len(symbols), self.states, self.vocab, self.neighbours
+        last, counts = [""], [0]
+        for end in range(1, size + 1):
+            state = states.get(symbols[:end])
+            if state is None:
+                break
+            last.append(state[0])
+            counts.append(state[1])
+        for end in range(len(last), size + 1):
+            for begin in range(end - self.longest if end > self.longest else 0, end):
                 token = symbols[begin:end]
-                if token in self.vocab and (
-                    begin == 0 or self._may_follow(last[begin], token)
-                ):
-                    last[end], counts[end] = token, counts[begin] + 1
+                if token in vocab:
+                    if begin:
+                        fits = near.get((last[begin], token))
+                        if fits is None:
+                            fits = self._may_follow(last[begin], token)
+                        if not fits:
+                            continue
                     break
             else:
                 raise ValueError(f"no token ends {symbols[:end]!r}")
+            last.append(token)
+            counts.append(counts[begin] + 1)
             if end <= CACHED_CHARS:
-                states[symbols[:end]] = last[end], counts[end]
-        return counts[1:]
+                states[symbols[:end]] = token, counts[end]
+        del counts[0]
+        return counts
 
     def _steps(self, symbols: str, text: str) -> bytes:
         """Differences of the counts along the characters of a piece."""
         counts = self._counts(symbols)
         if len(symbols) != len(text):
-            ends = accumulate(len(c.encode()) for c in text)
-            counts = [counts[end - 1] for end in ends]
+            following = symbols[1:] + "."
+            counts = [n for n, s in zip(counts, following, strict=True) if s not in _INNER]
         if text in CONTRACTIONS:
             # Cut short, its characters are pieces of their own.
             counts = [*range(1, len(text)), counts[-1]]
@@ -186,6 +196,8 @@ class PrefixCounter:
         return run + array("b", [there]).tobytes() + steps[space + 1 :]
 
     def _plain(self, text: str) -> bytes:
+        if _COMMON.fullmatch(text) and not _SPACE_RUN.search(text):
+            return b"".join(map(self.pieces.__getitem__, _COMMON_PIECE.findall(text)))
         return b"".join(map(self.units.__getitem__, UNIT.findall(text)))
 
     def steps(self, text: str) -> np.ndarray:

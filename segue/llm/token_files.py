@@ -28,7 +28,7 @@ _WORD = re.compile(f"[^{LIBRARY_SPACE}]+")
 # The vocabulary's pattern, for lower-case text of Latin-1 letters and ASCII alone.
 _LOWER = "a-zß-öø-ÿ"
 _COMMON_PIECE = re.compile(
-    f"'s|'t|'re|'ve|'m|'ll|'d|[{_LOWER}]+|[0-9]|[^{_LOWER}0-9]+"
+    f"[{_LOWER}]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^{_LOWER}0-9\\t-\\r ]+"
 )
 
 
@@ -36,8 +36,9 @@ class WordEncoder:
     """Ids of whole texts for a vocabulary that drops white space.
 
     White space ends all pieces, so ids of a text are those of its words in a
-    row. Words come from the library and are kept in a cache of bounded size.
-    Texts with special strings go to the library whole.
+    row. What the library gives is kept in a cache of bounded size: for texts of
+    Latin-1 letters and ASCII by pieces of the pattern, for others by words. Texts
+    with special strings go to the library whole.
     """
 
     def __init__(self, path: str):
@@ -50,7 +51,7 @@ class WordEncoder:
         special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
         self.pieces = _Cache(self._piece)
-        self.words = _Cache(self._word)
+        self.words = _Cache(self._encode)
 
     def _ids(self, ids: list[int]) -> bytes:
         return array("H" if self.kind is np.uint16 else "I", ids).tobytes()
@@ -61,17 +62,14 @@ class WordEncoder:
     def _encode(self, text: str) -> bytes:
         return self._ids(self.library.encode(text, add_special_tokens=False).ids)
 
-    def _word(self, word: str) -> bytes:
-        if _COMMON.fullmatch(word):
-            return b"".join(map(self.pieces.__getitem__, _COMMON_PIECE.findall(word.lower())))
-        return self._encode(word)
-
     def encode(self, text: str) -> bytes:
         for cache in (self.words, self.pieces):
             if len(cache) > CACHED:
                 cache.clear()
         if self.special and self.special.search(text):
             return self._encode(text)
+        if _COMMON.fullmatch(text):
+            return b"".join(map(self.pieces.__getitem__, _COMMON_PIECE.findall(text.lower())))
         return b"".join(map(self.words.__getitem__, _WORD.findall(text)))
 
 
