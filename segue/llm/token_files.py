@@ -15,10 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from segue.llm.prefix_tokens import _COMMON, CACHED, LIBRARY_SPACE, _Cache, byte_symbols
+from segue.llm.prefix_tokens import _COMMON, LIBRARY_SPACE, _Cache, byte_symbols
 from segue.llm.wavelet import WaveletMatrix
 
 SHARD_TOKENS = 1 << 19
+CACHED = 900_000  # pieces and words a worker keeps
 
 _FILE = (
     "part int, shard int, n_tokens bigint, symbols binary, doc_ids array<bigint>, "
@@ -49,7 +50,7 @@ class WordEncoder:
         self.levels = max(1, (self.library.get_vocab_size() - 1).bit_length())
         self.kind = np.uint16 if self.levels <= 16 else np.uint32
         special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(map(re.escape, special))) if special else None
+        self.special = special
         self.pieces = _Cache(self._piece)
         self.words = _Cache(self._encode)
 
@@ -66,7 +67,7 @@ class WordEncoder:
         for cache in (self.words, self.pieces):
             if len(cache) > CACHED:
                 cache.clear()
-        if self.special and self.special.search(text):
+        if any(s in text for s in self.special):
             return self._encode(text)
         if _COMMON.fullmatch(text):
             return b"".join(map(self.pieces.__getitem__, _COMMON_PIECE.findall(text.lower())))
