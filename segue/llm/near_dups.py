@@ -18,9 +18,11 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 18, 4
 SAMPLES = BANDS * ROWS
-# Signatures agreeing in fewer samples are not compared: at a similarity of 0.8,
-# 58 of 72 agree, and half of them is 6.5 standard deviations away.
-LIKELY = SAMPLES // 2
+# Members of a bucket that are not connected yet get a longer signature, a byte per
+# sample. At a similarity of 0.8, 410 of 512 samples agree with a standard deviation
+# of 9, so fewer than this many agree once in about 50,000 cases.
+LONG_SAMPLES = 512
+LIKELY = 373
 FREQUENT = 2.5e-7  # documents per byte of text from which a shingle has its own weight
 BLOCK = 1024  # members of a bucket compared in one go
 FLUSH = 1 << 21  # shingles a task gathers before it passes them on
@@ -37,8 +39,9 @@ def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     random = np.random.Generator(np.random.PCG64(20240229))
     n = 1 << _TABLE_BITS
     r, c = random.gamma(2, 1, n), random.gamma(2, 1, n)
-    factors = random.integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    return r, np.log(c), random.random(n), factors
+    beta = random.random(n)
+    factors = random.integers(0, 1 << 63, SAMPLES + LONG_SAMPLES, dtype=np.uint64)
+    return r, np.log(c), beta, factors * np.uint64(2) + np.uint64(1)
 
 
 _R, _LOG_C, _BETA, _FACTORS = _tables()
@@ -106,8 +109,10 @@ class Weights:
         return found
 
 
-def _signatures(words: Words, weights: Weights) -> tuple[np.ndarray, np.ndarray]:
-    """(samples, whether there are any) of some texts."""
+def _signatures(
+    words: Words, weights: Weights, factors: np.ndarray = _FACTORS[:SAMPLES]
+) -> tuple[np.ndarray, np.ndarray]:
+    """(samples, whether there are any) of some texts, one sample per factor."""
     keys, times = _sets(words)
     owner = (keys >> np.uint64(_ID_BITS)).astype(np.int64)
     ids = keys & _ID_MASK
@@ -118,10 +123,10 @@ def _signatures(words: Words, weights: Weights) -> tuple[np.ndarray, np.ndarray]
     filled = np.flatnonzero(counts)
     starts = (np.cumsum(counts) - counts)[filled]
     low = ids & np.uint64(0xFFFFFFFF)
-    found = np.zeros((len(words), SAMPLES), np.uint32)
+    found = np.zeros((len(words), len(factors)), np.uint32)
     shift = np.uint64(64 - _TABLE_BITS)
-    for k in range(SAMPLES if len(filled) else 0):
-        at = (ids * _FACTORS[k] >> shift).astype(np.int64)
+    for k in range(len(factors) if len(filled) else 0):
+        at = (ids * factors[k] >> shift).astype(np.int64)
         offers = _USUAL[at]
         offers[special] = _sample(log_weight, at[special])
         offers ^= low
@@ -223,7 +228,7 @@ def frequent_shingles(docs: DataFrame, text_col: str) -> Weights:
 
 
 def _sign(rows: DataFrame, weights: Weights) -> DataFrame:
-    """(id, v1, bands, samples) of every row of (id, v1, text)."""
+    """(id, v1, bands) of every row of (id, v1, text)."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -236,12 +241,27 @@ def _sign(rows: DataFrame, weights: Weights) -> DataFrame:
                         batch.column(0).slice(begin, end - begin),
                         batch.column(1).slice(begin, end - begin),
                         pa.array(bands, pa.list_(pa.int64())),
-                        pa.array([s.tobytes() for s in samples], pa.binary()),
                     ],
-                    ["id", "v1", "bands", "samples"],
+                    ["id", "v1", "bands"],
                 )
 
-    return rows.mapInArrow(sign, "id bigint, v1 bigint, bands array<bigint>, samples binary")
+    return rows.mapInArrow(sign, "id bigint, v1 bigint, bands array<bigint>")
+
+
+def _sign_long(texts: DataFrame, weights: Weights) -> DataFrame:
+    """(node, samples) of (node, text): ``LONG_SAMPLES`` bytes each."""
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for begin, end, words in chunks(batch.column(1)):
+                samples, _ = _signatures(words, weights, _FACTORS[SAMPLES:])
+                own = [s.tobytes() for s in samples.astype(np.uint8)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(begin, end - begin), pa.array(own, pa.binary())],
+                    ["node", "samples"],
+                )
+
+    return texts.mapInArrow(sign, "node bigint, samples binary")
 
 
 def _similar(pairs: DataFrame, weights: Weights, similarity: float) -> DataFrame:
@@ -275,32 +295,30 @@ def _overlap(left: Words, right: Words, weights: Weights) -> np.ndarray:
 def _verified(
     pairs: DataFrame, rows: DataFrame, nodes: DataFrame, weights: Weights, similarity: float, name: str
 ) -> DataFrame:
-    """Those of the (stored) pairs (a, b) of nodes that are similar enough.
-
-    Only texts that are in a pair are fetched, each from its first row.
-    """
-    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    asked = stage(asked.join(nodes.select("node", "first_id"), "node"), f"{name}-nodes")
-    asked = F.broadcast(asked) if fits_broadcast(asked) else asked.hint("shuffle_hash")
-    texts = stage(
-        rows.select(F.col("v1").alias("node"), _order_id().alias("first_id"), "text")
-        .join(asked, ["node", "first_id"], "left_semi")
-        .select("node", "text")
-        .dropDuplicates(["node"]),
-        f"{name}-texts",
-    )
+    """Those of the (stored) pairs (a, b) of nodes that are similar enough."""
+    asked = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+    texts = _texts(asked, rows, nodes, name)
     joined = pairs.join(
         texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"
     ).join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
     return stage(_similar(joined, weights, similarity), f"{name}-edges")
 
 
+def _texts(asked: DataFrame, rows: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
+    """(node, text) of the nodes in ``asked``, each from its first row."""
+    asked = stage(asked.distinct().join(nodes.select("node", "first_id"), "node"), f"{name}-nodes")
+    asked = F.broadcast(asked) if fits_broadcast(asked) else asked.hint("shuffle_hash")
+    found = rows.select(F.col("v1").alias("node"), _order_id().alias("first_id"), "text")
+    found = found.join(asked, ["node", "first_id"], "left_semi").select("node", "text")
+    return stage(found.dropDuplicates(["node"]), f"{name}-texts")
+
+
 def _order_id():
     """The id, for choosing the smallest; NULL comes last."""
     return F.coalesce("id", F.lit((1 << 63) - 1))
 
 
-def _unlike_pairs(members: DataFrame) -> DataFrame:
+def _unlike_pairs(members: DataFrame, forest: bool) -> DataFrame:
     """Likely pairs (a, b) of different components in one bucket.
 
     ``members`` (stored) is (h, node, comp, samples) of buckets with several
@@ -308,7 +326,9 @@ def _unlike_pairs(members: DataFrame) -> DataFrame:
     components into blocks of their own, the others together. Blocks of the same
     bucket meet, except two of one component, so a bucket that is nearly all one
     component costs no more than its size times the rest. Signatures are compared
-    inside the task and only likely pairs leave it.
+    inside the task and only likely pairs leave it: all of them, or with
+    ``forest`` only those that connect components when the pairs of two blocks
+    are taken by falling agreement.
     """
     sizes = members.groupBy("h", "comp").agg(F.count("*").alias("n"))
     rest = (
@@ -350,27 +370,31 @@ def _unlike_pairs(members: DataFrame) -> DataFrame:
             keys = np.stack([table.column(c).to_numpy() for c in ("h", "i", "j")])
             edges = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
             nodes, comps, sides = (table.column(c).to_numpy() for c in ("node", "comp", "side"))
-            samples = np.frombuffer(b"".join(table.column("samples").to_pylist()), np.uint32).reshape(-1, SAMPLES)
+            samples = np.frombuffer(b"".join(table.column("samples").to_pylist()), np.uint8)
+            samples = samples.reshape(-1, LONG_SAMPLES)
             found = [[], []]
             for begin, end in zip([0, *edges], [*edges, len(nodes)], strict=True):
                 group = slice(begin, end)
                 n, c, s, side = nodes[group], comps[group], samples[group], sides[group]
                 split = side.any()
                 right = np.flatnonzero(side == 1) if split else np.arange(len(n))
+                near = [np.zeros((3, 0), np.int64)]
                 for i in range(len(n)):
                     if split and side[i]:
                         continue
                     others = right if split else right[i + 1 :]
                     others = others[c[others] != c[i]]
-                    if not len(others):
-                        continue
-                    alike = (s[others] == s[i]).sum(axis=1) >= LIKELY
-                    for o in others[alike]:
-                        pair = (min(n[i], n[o]), max(n[i], n[o]))
-                        if pair not in seen:
-                            seen.add(pair)
-                            found[0].append(pair[0])
-                            found[1].append(pair[1])
+                    agree = (s[others] == s[i]).sum(axis=1)
+                    others, agree = others[agree >= LIKELY], agree[agree >= LIKELY]
+                    near.append(np.stack([np.full(len(others), i), others, agree]))
+                near = np.concatenate(near, axis=1)
+                near = _forest(near, c) if forest else near
+                for i, o in near[:2].T:
+                    pair = (min(n[i], n[o]), max(n[i], n[o]))
+                    if pair not in seen:
+                        seen.add(pair)
+                        found[0].append(pair[0])
+                        found[1].append(pair[1])
             if len(seen) > 1_000_000:  # pairs that are met again are removed later
                 seen.clear()
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], ["a", "b"])
@@ -392,6 +416,27 @@ def _unlike_pairs(members: DataFrame) -> DataFrame:
     return dealt.mapInArrow(compare, "a bigint, b bigint").distinct()
 
 
+def _forest(pairs: np.ndarray, comps: np.ndarray) -> np.ndarray:
+    """Those of the pairs (i, j, agreement) that connect components, closest first."""
+    above: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (y := above.get(x, x)) != x:
+            above[x] = x = above.get(y, y)
+        return x
+
+    order = np.argsort(-pairs[2], kind="stable")
+    left, kept = len(np.unique(comps)) - 1, []
+    for at, x, y in zip(order, comps[pairs[0][order]], comps[pairs[1][order]], strict=True):
+        x, y = top(x), top(y)
+        if x != y:
+            above[x] = y
+            kept.append(at)
+            if len(kept) == left:
+                break
+    return pairs[:, kept]
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -413,8 +458,10 @@ def near_duplicates(
       shares none of ``BANDS`` bands once in about 13,000 cases.
     * In every bucket all members are compared with the smallest one, exactly.
       Of buckets that are still in several components after that, members of
-      different components are compared by their signatures and then exactly, so
-      each pair of a bucket is either in one component already or was compared.
+      different components are compared by their signatures and then exactly:
+      first the closest pairs that would connect them, then, where components
+      are left, all likely pairs. So each pair of a bucket is either in one
+      component already or was compared.
 
     A NULL text counts as empty. Texts without words only match equal ones, and
     texts of one to four words are one shingle. A NULL id has no part in the
@@ -435,7 +482,6 @@ def near_duplicates(
             F.min(_order_id()).alias("first_id"),
             F.count("*").alias("n"),
             F.first("bands").alias("bands"),
-            F.first("samples").alias("samples"),
         )
         .withColumnRenamed("v1", "node"),
         "nodes",
@@ -448,25 +494,33 @@ def near_duplicates(
     stars = members.filter("node <> lead").select(
         F.col("lead").alias("a"), F.col("node").alias("b")
     )
-    edges = _verified(stage(stars.distinct(), "stars"), rows, nodes, weights, similarity, "star")
+    tested = stage(stars.distinct(), "stars")
+    edges = _verified(tested, rows, nodes, weights, similarity, "star")
     labels = components(edges)
-    labelled = stage(
-        members.select("h", "node")
-        .join(labels, "node", "left")
-        .select("h", "node", F.coalesce("label", "node").alias("comp")),
-        "labelled",
-    )
-    several = (
-        labelled.groupBy("h")
-        .agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
-        .filter("x <> y")
-    )
-    open_ = labelled.join(several.select("h"), "h", "left_semi").join(
-        nodes.select("node", "samples"), "node"
-    )
-    more = stage(_unlike_pairs(stage(open_, "open")), "unlike")
-    if not more.isEmpty():
+    for forest in (True, False):
+        labelled = stage(
+            members.select("h", "node")
+            .join(labels, "node", "left")
+            .select("h", "node", F.coalesce("label", "node").alias("comp")),
+            "labelled",
+        )
+        several = (
+            labelled.groupBy("h")
+            .agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
+            .filter("x <> y")
+        )
+        open_ = stage(labelled.join(several.select("h"), "h", "left_semi"), "open")
+        if forest:
+            signatures = stage(
+                _sign_long(_texts(open_.select("node"), rows, nodes, "open"), weights), "signatures"
+            )
+        likely = _unlike_pairs(stage(open_.join(signatures, "node"), "open-members"), forest)
+        known = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        more = stage(likely.join(known, ["a", "b"], "left_anti"), "unlike")
+        if more.isEmpty():
+            continue
         edges = edges.union(_verified(more, rows, nodes, weights, similarity, "unlike"))
+        tested = tested.union(more)
         labels = components(edges)
     labelled = stage(
         nodes.join(labels, "node", "left").select(
