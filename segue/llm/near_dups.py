@@ -25,6 +25,7 @@ LONG_SAMPLES = 512
 LIKELY = 373
 FREQUENT = 2.5e-7  # documents per byte of text from which a shingle has its own weight
 BLOCK = 1024  # members of a bucket compared in one go
+LAST = (1 << 63) - 1
 FLUSH = 1 << 21  # shingles a task gathers before it passes them on
 
 PAIRS = 64  # pairs of texts compared in one go
@@ -321,7 +322,7 @@ def _order_id():
 def _unlike_pairs(members: DataFrame, forest: bool) -> DataFrame:
     """Likely pairs (a, b) of different components in one bucket.
 
-    ``members`` (stored) is (h, node, comp, samples) of buckets with several
+    ``members`` (stored) is (h, node, comp, samples, bands) of buckets with several
     components. Buckets are cut into blocks of about ``BLOCK`` members: large
     components into blocks of their own, the others together. Blocks of the same
     bucket meet, except two of one component, so a bucket that is nearly all one
@@ -343,7 +344,7 @@ def _unlike_pairs(members: DataFrame, forest: bool) -> DataFrame:
     ).otherwise(F.pmod(F.xxhash64("comp", "h"), F.ceil(F.col("rest") / BLOCK)))
     placed = stage(
         members.join(sizes, ["h", "comp"]).select(
-            "h", "node", "comp", "samples",
+            "h", "node", "comp", "samples", "bands",
             F.when(large, F.col("comp")).alias("pure"),
             F.xxhash64(F.when(large, F.col("comp")), piece).alias("block"),
         ),
@@ -359,7 +360,9 @@ def _unlike_pairs(members: DataFrame, forest: bool) -> DataFrame:
     sides = meets.select("h", F.col("i").alias("block"), F.lit(0).alias("side"), "i", "j").union(
         meets.filter("i <> j").select("h", F.col("j").alias("block"), F.lit(1), "i", "j")
     )
-    rows = placed.join(sides, ["h", "block"]).select("h", "i", "j", "side", "node", "comp", "samples")
+    rows = placed.join(sides, ["h", "block"]).select(
+        "h", "i", "j", "side", "node", "comp", "samples", "bands"
+    )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
@@ -372,6 +375,8 @@ def _unlike_pairs(members: DataFrame, forest: bool) -> DataFrame:
             nodes, comps, sides = (table.column(c).to_numpy() for c in ("node", "comp", "side"))
             samples = np.frombuffer(b"".join(table.column("samples").to_pylist()), np.uint8)
             samples = samples.reshape(-1, LONG_SAMPLES)
+            bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+            table_h = keys[0]
             found = [[], []]
             for begin, end in zip([0, *edges], [*edges, len(nodes)], strict=True):
                 group = slice(begin, end)
@@ -386,6 +391,10 @@ def _unlike_pairs(members: DataFrame, forest: bool) -> DataFrame:
                     others = others[c[others] != c[i]]
                     agree = (s[others] == s[i]).sum(axis=1)
                     others, agree = others[agree >= LIKELY], agree[agree >= LIKELY]
+                    # A pair leaves from the first of its common buckets only.
+                    shared = np.where(bands[begin + others] == bands[begin + i], bands[begin + i], LAST)
+                    here = shared.min(axis=1, initial=LAST) == table_h[begin]
+                    others, agree = (others, agree) if forest else (others[here], agree[here])
                     near.append(np.stack([np.full(len(others), i), others, agree]))
                 near = np.concatenate(near, axis=1)
                 near = _forest(near, c) if forest else near
@@ -511,9 +520,8 @@ def near_duplicates(
         )
         open_ = stage(labelled.join(several.select("h"), "h", "left_semi"), "open")
         if forest:
-            signatures = stage(
-                _sign_long(_texts(open_.select("node"), rows, nodes, "open"), weights), "signatures"
-            )
+            signed_long = _sign_long(_texts(open_.select("node"), rows, nodes, "open"), weights)
+            signatures = stage(signed_long.join(nodes.select("node", "bands"), "node"), "signatures")
         likely = _unlike_pairs(stage(open_.join(signatures, "node"), "open-members"), forest)
         known = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         more = stage(likely.join(known, ["a", "b"], "left_anti"), "unlike")
