@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -75,7 +78,7 @@ def group_positions(
     time order). Rows are numbered inside (group, coarse) and shifted by the
     size of the earlier pieces, so no task sorts a whole large group. The sizes
     come from a second pass that reads the keys alone and combines before its
-    shuffle. Keys and ``coarse`` must not be NULL.
+    shuffle. NULL keys are a group, and a NULL ``coarse`` comes first.
     """
     piece = keys + [coarse]
     numbered = df.withColumn(
@@ -87,7 +90,10 @@ def group_positions(
         .agg(F.count("*").alias("_size"))
         .select(*piece, F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_off"))
     )
-    return numbered.join(offsets, piece).select(
+    for column in piece:
+        offsets = offsets.withColumnRenamed(column, f"_of_{column}")
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in piece))
+    return numbered.join(offsets, same).select(
         *df.columns, (F.col("_off") + F.col("_local") - 1).cast("bigint").alias(name)
     )
 

@@ -27,19 +27,21 @@ def reserve_validation(
     playlists: DataFrame,
     min_length: int = 100,
     fraction: float = 0.006,
-    cap: int = 2_000,
+    cap: int | None = None,
     seed: int = 0,
 ) -> DataFrame:
-    """(pid, name) of a reproducible sample of long playlists, ``cap`` at most."""
+    """(pid, name) of a reproducible sample of long playlists.
+
+    With a ``cap``, the first that many in the order of the draw.
+    """
     pid = F.col("pid")
-    return (
-        playlists.filter(F.col("num_tracks") >= min_length)
-        .filter(hash_below(pid, fraction, seed))
-        .select("pid", "name", hash_word(pid, seed).alias("_draw"))
-        .orderBy("_draw", "pid")
-        .limit(cap)
-        .drop("_draw")
+    drawn = playlists.filter(F.col("num_tracks") >= min_length).filter(
+        hash_below(pid, fraction, seed)
     )
+    if cap is None:
+        return drawn.select("pid", "name")
+    order = drawn.select("pid", "name", hash_word(pid, seed).alias("_draw"))
+    return order.orderBy("_draw", "pid").limit(cap).drop("_draw")
 
 
 def validation_split(playlist_tracks: DataFrame, reserved: DataFrame) -> DataFrame:

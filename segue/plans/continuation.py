@@ -51,7 +51,7 @@ def split_tables(
     playlist_tracks: DataFrame,
     min_length: int,
     fraction: float,
-    cap: int = 2_000,
+    cap: int | None = None,
 ) -> Split:
     """Reserve playlists and part the rows; ``playlist_tracks`` is a stored table.
 
@@ -154,8 +154,9 @@ def recommend_requests(
     """
     candidates = aligned_candidates(baseline, als_factors, word_factors)
     asked = requests.select("pid").distinct()
+    known = stage(in_vocabulary(seeds, baseline), "known-seeds")
     rows = model_queries(
-        asked, seeds, candidates, als_factors, word_factors, ["pid"], ["Hybrid"]
+        asked, known, candidates, als_factors, word_factors, ["pid"], ["Hybrid"]
     ).drop("model")
     recs = stage(recommend(candidates, rows, seeds, ["pid"], n), "recs")
     return pad_with_popularity(recs, asked, seeds, candidates, ["pid"], n)

@@ -76,7 +76,7 @@ PARTS = {
         SELECT pid, name FROM (
             SELECT pid, name, num_tracks, {_drawn("pid", 0)} AS draw FROM heads)
         WHERE num_tracks >= {LONG} AND draw < {FRACTION} * 4294967296
-        ORDER BY draw, pid LIMIT 2000""",
+        """,
     "validation": "SELECT pt.* FROM pt WHERE pid IN (SELECT pid FROM reserved)",
     "train": "SELECT pt.* FROM pt WHERE pid NOT IN (SELECT pid FROM reserved)",
     "baseline": """
