@@ -99,15 +99,13 @@ def best_model(summary: DataFrame, models: list[str]) -> DataFrame:
 
 def improvement(summary: DataFrame, baseline: str = "Popularity") -> DataFrame:
     """R-precision gain of the other models over the baseline, in percent."""
-    base = summary.filter(F.col("model") == baseline).select(
-        "scenario", F.col("r_precision").alias("_base")
-    )
-    return (
-        summary.filter(F.col("model") != baseline)
-        .join(base, "scenario")
-        .select(
-            "scenario",
-            "model",
-            relative_gain(F.col("r_precision"), F.col("_base")).alias("gain_pct"),
-        )
+    of_baseline = F.when(F.col("model") == baseline, F.col("r_precision"))
+    # A window needs the summary once, a join with its own rows twice.
+    based = summary.withColumn("_base", F.max(of_baseline).over(W.partitionBy("scenario")))
+    return based.filter(
+        (F.col("model") != baseline) & F.col("_base").isNotNull()
+    ).select(
+        "scenario",
+        "model",
+        relative_gain(F.col("r_precision"), F.col("_base")).alias("gain_pct"),
     )

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,7 +45,8 @@ def spread_join(
     rows are copied to each part. Every left row meets each of its matches
     exactly once, so inner, left, left_semi and left_anti joins keep their
     results. The part follows from the row and its input partition, which a
-    repeated task finds unchanged; a random number it would not.
+    repeated task finds unchanged; a random number it would not. Left rows with a
+    NULL key match nothing, so they are spread without any copies.
 
     ``counts`` (keys, n), when the caller has them stored, saves counting the
     left keys. The hot keys are written down, so both sides split alike; without
@@ -56,9 +61,11 @@ def spread_join(
         return left.join(right, keys, how)
     hot = F.broadcast(hot)
     spot = F.xxhash64(*left.columns) + F.spark_partition_id()
+    keyless = reduce(or_, (F.col(k).isNull() for k in keys))
     salted = left.join(hot, keys, "left").withColumn(
         "_part",
-        F.when(F.col("_parts").isNull(), F.lit(0))
+        F.when(keyless, F.pmod(spot, F.lit(math.ceil(1 / share))))
+        .when(F.col("_parts").isNull(), F.lit(0))
         .otherwise(F.pmod(spot, F.col("_parts").cast("bigint")))
         .cast("int"),
     )

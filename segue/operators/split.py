@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segue.functions.columns import hash_below, hash_word
-from segue.operators.joins import lookup_join, restrict_to, without
+from segue.operators.joins import lookup_join, restrict_to, spread_join, without
 from segue.operators.ranking import top_per_group
 from segue.sources.storage import stage
 
@@ -91,12 +91,14 @@ def sequences(
         ).alias("track_sequence")
     )
     # The length of the whole playlist decides, not that of a part.
-    long_enough = (
+    lengths = stage(
         playlist_tracks.groupBy("pid")
         .agg(F.count("*").alias("num_tracks"))
-        .filter(F.col("num_tracks") >= min_length)
+        .filter(F.col("num_tracks") >= min_length),
+        "lengths",
     )
-    return parts.join(long_enough, "pid").select(
+    counts = lengths.select("pid", F.col("num_tracks").alias("n"))
+    return spread_join(parts, lengths, "pid", counts=counts).select(
         "pid", "part", "num_tracks", "track_sequence"
     )
 

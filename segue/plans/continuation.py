@@ -136,7 +136,7 @@ def scenario_lists(
         models,
     )
     recs = recommend(candidates, rows, seeds, ["scenario", "model", "pid"], n)
-    return recs, holdout
+    return stage(recs, "lists"), holdout
 
 
 def recommend_requests(

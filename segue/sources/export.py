@@ -46,6 +46,7 @@ def read_recommendations(spark, path: str) -> DataFrame:
 
 
 def write_metrics(summary: DataFrame, path: str) -> None:
-    """Metric table as Parquet and, next to it, as CSV with a header."""
+    """Metric table as Parquet and, from that, as CSV with a header."""
     summary.write.mode("overwrite").parquet(f"{path}/parquet")
-    summary.write.mode("overwrite").option("header", True).csv(f"{path}/csv")
+    written = summary.sparkSession.read.schema(summary.schema).parquet(f"{path}/parquet")
+    written.write.mode("overwrite").option("header", True).csv(f"{path}/csv")
