@@ -6,7 +6,8 @@ import os
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,7 @@ _FILE = (
     "part int, shard int, n_tokens bigint, symbols binary, doc_ids array<bigint>, "
     "doc_tokens array<bigint>, planes array<binary>"
 )
+_ID = attrgetter("id")
 _WORD = re.compile(f"[^{LIBRARY_SPACE}]+")
 # The vocabulary's pattern, for lower-case text of Latin-1 letters and ASCII alone.
 _LOWER = "a-zß-öø-ÿ"
@@ -47,18 +49,22 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        # A piece comes here once, so the model's own cache only takes time.
+        self.model = self.library.model
+        self.model._resize_cache(0)
         self.levels = max(1, (self.library.get_vocab_size() - 1).bit_length())
         self.kind = np.uint16 if self.levels <= 16 else np.uint32
+        self.code = "H" if self.levels <= 16 else "I"
         special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.special = special
         self.pieces = _Cache(self._piece)
         self.words = _Cache(self._encode)
 
-    def _ids(self, ids: list[int]) -> bytes:
-        return array("H" if self.kind is np.uint16 else "I", ids).tobytes()
+    def _ids(self, ids: Iterable[int]) -> bytes:
+        return array(self.code, ids).tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        return self._ids([t.id for t in self.library.model.tokenize(byte_symbols(piece))])
+        return self._ids(map(_ID, self.model.tokenize(byte_symbols(piece))))
 
     def _encode(self, text: str) -> bytes:
         return self._ids(self.library.encode(text, add_special_tokens=False).ids)
