@@ -33,6 +33,16 @@ _LOWER = "a-zß-öø-ÿ"
 _COMMON_PIECE = re.compile(
     f"[{_LOWER}]+|'s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^{_LOWER}0-9\\t-\\r ]+"
 )
+# Lower-case text with only points and commas, all at ends of words.
+_PLAIN = re.compile(f"(?:[{_LOWER} \\n]++|[.,](?![^ \\n]))*+")
+
+
+def _pieces(text: str) -> list[str]:
+    """The pieces of a text of Latin-1 letters and ASCII."""
+    text = text.lower()
+    if _PLAIN.fullmatch(text):
+        return text.replace(",", " ,").replace(".", " .").split()
+    return _COMMON_PIECE.findall(text)
 
 
 class WordEncoder:
@@ -76,7 +86,7 @@ class WordEncoder:
         if any(s in text for s in self.special):
             return self._encode(text)
         if _COMMON.fullmatch(text):
-            return b"".join(map(self.pieces.__getitem__, _COMMON_PIECE.findall(text.lower())))
+            return b"".join(map(self.pieces.__getitem__, _pieces(text)))
         return b"".join(map(self.words.__getitem__, _WORD.findall(text)))
 
 
