@@ -210,3 +210,21 @@ def test_pipeline_stages(spark):
     assert counts[0] > counts[1] >= counts[2] >= counts[3] > 0
     last = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
     assert last.count() == counts[-1] == corpus_pipeline.run(spark, SF).count()
+
+
+def test_word_encoder_matches_the_library_on_odd_texts():
+    import random
+
+    from tokenizers import Tokenizer
+
+    from segue.llm.queries import tokenizer
+    from segue.llm.token_files import WordEncoder
+
+    path = tokenizer("word_bpe_49k.json")
+    encoder, library = WordEncoder(path), Tokenizer.from_file(path)
+    draw = random.Random(5)
+    letters = "abÉß.., \n\n'sl7!\t\x1c\x85\u212a"
+    texts = ["".join(draw.choices(letters, k=draw.randint(0, 14))) for _ in range(3000)]
+    for text in [*texts, "<|endoftext|> a.", "a,b. c", "Plain, plain.\nText.", "x." * 9]:
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode(text), encoder.kind).tolist() == ids, text
