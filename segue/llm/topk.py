@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -14,67 +15,72 @@ from segue.sources.storage import stage
 
 SHARD_ROWS = 1 << 14  # rows of one shard of the index
 QUERY_ROWS = 1 << 12  # queries that meet a shard together
-LEVELS = 12  # impact levels, from the largest impact to none
+LEVELS = 16  # quantised impacts on either side of a dimension's middle
+QUERY_BLOCK = 64  # queries that read the postings together
+CHECKS = (8, 4, 2, 1, 0)  # levels left at which proofs are tried
 FEW = 64  # possible members that are cheaper to score than to bound
 
 
 class ImpactIndex:
-    """Postings of a block of integer vectors, by dimension and falling impact.
+    """Postings of a block of integer vectors, by falling quantised impact.
 
-    The impact of a row in a dimension is what it adds to a query's score beyond
-    the least that any row adds there, so impacts are never negative. For a
-    positive query value the postings of a dimension run from its largest value
-    down, for a negative one from its smallest up.
+    In every dimension, values become whole steps from the middle of their range.
+    A segment holds the rows of one dimension and one number of steps, and adds the
+    same impact to all of them. Steps towards zero are read last, none never.
     """
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray):
         self.ids, self.rows = ids, rows
-        self.order = np.argsort(rows, axis=0, kind="stable").T.copy()
-        self.values = np.take_along_axis(rows.T, self.order, axis=1)
-
-    def search(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) of the best ``k`` rows, the query's own id left out."""
-        rows = len(self.ids)
-        dims = np.flatnonzero(query)
-        gained = np.zeros(rows)
-        gained[self.ids == query_id] = -np.inf
-        possible = np.flatnonzero(self.ids != query_id)
-        # Impacts along the postings of each dimension, and how far they are read.
-        lows = np.where(query[dims] > 0, self.values[dims, 0], self.values[dims, -1])
-        tops = np.where(query[dims] > 0, self.values[dims, -1], self.values[dims, 0])
-        largest = query[dims] * (tops - lows)
-        read = np.zeros(len(dims), np.int64)
-        for level in range(LEVELS):
-            floor = largest.max(initial=0) * (1 - (level + 1) / LEVELS)
-            left = 0.0
-            for i, d in enumerate(dims):
-                q, values, order = query[d], self.values[d], self.order[d]
-                # Rows whose impact is above the floor: values beyond low + floor / q.
-                edge = lows[i] + floor / q
-                if q > 0:
-                    upto = rows - int(np.searchsorted(values, edge, side="right"))
-                    part = slice(rows - upto, rows - read[i])
-                    following = rows - upto - 1
-                else:
-                    upto = int(np.searchsorted(values, edge, side="left"))
-                    part = slice(read[i], upto)
-                    following = upto
-                if upto > read[i]:
-                    gained[order[part]] += q * (values[part] - lows[i])
-                    read[i] = upto
-                if upto < rows:
-                    left += q * (values[following] - lows[i])
-            if len(possible) <= k:
+        low, high = rows.min(axis=0).astype(float), rows.max(axis=0).astype(float)
+        middle = low + (high - low) / 2
+        self.step = np.where(high > low, (high - low) / (2 * LEVELS), 1.0)
+        steps = np.clip(np.rint((rows - middle) / self.step), -LEVELS, LEVELS).astype(np.int8)
+        # What the steps of a dimension leave of its values at most.
+        self.error = np.abs(rows - middle - steps * self.step).max(axis=0)
+        self.slack = (np.abs(low) + np.abs(high)) * 1e-9
+        self.segments: list[list] = [[] for _ in range(LEVELS + 1)]
+        for d in range(rows.shape[1]):
+            order = np.argsort(steps[:, d], kind="stable")
+            numbers = np.arange(-LEVELS, LEVELS + 1)
+            ends = np.searchsorted(steps[order, d], numbers, side="right")
+            for number, begin, end in zip(numbers, [0, *ends[:-1]], ends, strict=True):
+                if number and end > begin:
+                    self.segments[abs(number)].append((d, number, order[begin:end]))
+
+    def search(
+        self, query_ids: np.ndarray, queries: np.ndarray, k: int
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(ids, scores) of the best ``k`` rows for every query, its own id left out."""
+        for begin in range(0, len(query_ids), QUERY_BLOCK):
+            part = slice(begin, begin + QUERY_BLOCK)
+            possible = self._possible(query_ids[part], queries[part], k)
+            for query, among in zip(queries[part], possible, strict=True):
+                rows = np.flatnonzero(among)
+                scores = self.rows[rows].astype(np.int64) @ query.astype(np.int64)
+                best = np.lexsort((self.ids[rows], -scores))[:k]
+                yield self.ids[rows][best], scores[best]
+
+    def _possible(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> np.ndarray:
+        """Which rows may be among the best of which query."""
+        size = np.abs(queries).astype(float)
+        impact = np.ascontiguousarray((queries * self.step).T)
+        error = size @ (self.error + self.slack)
+        others = self.ids[None, :] != query_ids[:, None]
+        known = np.zeros((len(self.ids), len(queries)))
+        possible = others
+        for level in range(LEVELS, 0, -1):
+            for d, number, rows in self.segments[level]:
+                known[rows] += impact[d] * number
+            if level - 1 not in CHECKS or len(self.ids) <= k + 1:
+                continue
+            # What is unread moves a row by at most `left`, up or down.
+            left = (level - 1) * (size @ self.step) + error
+            sums = np.where(others, known.T, -np.inf)
+            bar = np.partition(sums, sums.shape[1] - k, axis=1)[:, sums.shape[1] - k]
+            possible = others & (sums >= (bar - 2 * left)[:, None])
+            if possible.sum(axis=1).max() <= max(FEW, k):
                 break
-            # A row gains at most `left` more, and never loses what it has.
-            known = gained[possible]
-            bar = np.partition(known, len(known) - k)[len(known) - k]
-            possible = possible[known + left >= bar]
-            if len(possible) <= max(FEW, k):
-                break
-        scores = self.rows[possible].astype(np.int64) @ query.astype(np.int64)
-        best = np.lexsort((self.ids[possible], -scores))[:k]
-        return self.ids[possible][best], scores[best]
+        return possible
 
 
 def integer_vector(vector: Column, scale: int) -> Column:
@@ -91,10 +97,10 @@ def integer_vector(vector: Column, scale: int) -> Column:
 
 def _block(batch: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     ids = batch.column("id").to_numpy()
-    vectors = batch.column("vector").to_pylist()
-    rows = np.zeros((len(ids), max(map(len, vectors), default=0)), np.int64)
-    for i, v in enumerate(vectors):
-        rows[i, : len(v)] = v
+    vectors = batch.column("vector").combine_chunks()
+    lengths = pc.list_value_length(vectors).to_numpy(zero_copy_only=False).astype(np.int64)
+    rows = np.zeros((len(ids), lengths.max(initial=0)), np.int64)
+    rows[np.arange(rows.shape[1]) < lengths[:, None]] = vectors.flatten().to_numpy()
     return ids, rows
 
 
@@ -113,10 +119,10 @@ def top_k(
 
     Rows are dealt by a hash of their id into shards of about ``SHARD_ROWS``
     rows, queries into groups of about ``QUERY_ROWS``; every shard meets every
-    group in one task. There, postings are read by falling impact, all dimensions
-    one level at a time. After each level, rows that cannot reach the best k any
-    more are given up: that is the only ground for it. Those left are scored
-    exactly. Per query, k rows leave each shard.
+    group in one task. There, blocks of queries read the segments of postings by
+    falling quantised impact, all dimensions one level at a time. Reading stops,
+    and rows are given up, only on proof that they cannot reach the best k. Those
+    left are scored exactly. Per query, k rows leave each shard.
 
     Rows with a NULL id, and vectors that are NULL or hold a NULL, NaN or
     infinity, take no part. A shorter vector counts as if zeros followed. Rows
@@ -158,8 +164,8 @@ def top_k(
         found = [[], [], []]
         if len(ids):
             index = ImpactIndex(ids, rows)
-            for query_id, query in zip(query_ids, query_rows, strict=True):
-                best, scores = index.search(query_id, query, k)
+            results = index.search(query_ids, query_rows, k)
+            for query_id, (best, scores) in zip(query_ids, results, strict=True):
                 for column, values in zip(found, (np.full(len(best), query_id), best, scores), strict=True):
                     column.append(values)
         columns = [np.concatenate([np.zeros(0, np.int64), *c]).astype(np.int64) for c in found]
