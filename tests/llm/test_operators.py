@@ -18,7 +18,7 @@ from segue.llm.mixing import mix, mix_rows
 from segue.llm.prefix_tokens import PrefixCounter, counts_at, prefix_tokens
 from segue.llm.queries import URL_RULES, queries, tokenizer
 from segue.llm.token_files import read_token_files, write_token_files
-from segue.llm.topk import top_k
+from segue.llm.topk import ImpactIndex, top_k
 from segue.llm.url_filter import url_filter
 from segue.llm.wavelet import WaveletMatrix
 from segue.sources.storage import scratch_path, stage
@@ -228,3 +228,29 @@ def test_word_encoder_matches_the_library_on_odd_texts():
     for text in [*texts, "<|endoftext|> a.", "a,b. c", "Plain, plain.\nText.", "x." * 9]:
         ids = library.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(encoder.encode(text), encoder.kind).tolist() == ids, text
+
+
+@pytest.mark.parametrize("kind", ["normal", "outlier", "equal", "wide", "empty", "huge"])
+def test_impact_index_is_exact(kind):
+    random = np.random.default_rng(7)
+    rows = random.normal(0, 100, (700, 12)).astype(np.int64)
+    if kind == "outlier":
+        rows[3] = 10**6
+    elif kind == "equal":
+        rows[:400] = rows[0]
+    elif kind == "wide":
+        rows = rows[:4]
+    elif kind == "empty":
+        rows = rows[:, :0]
+    elif kind == "huge":
+        rows *= 10**6
+    ids = np.arange(len(rows))[::-1].copy()
+    ids[-1] = ids[0]
+    results = list(ImpactIndex(ids, rows).search(ids[:70], rows[:70], 5))
+    assert len(results) == len(ids[:70])
+    for own, query, (found, scores) in zip(ids, rows, results, strict=False):
+        others = np.flatnonzero(ids != own)
+        exact = rows[others] @ query
+        best = np.lexsort((ids[others], -exact))[:5]
+        assert found.tolist() == ids[others][best].tolist()
+        assert scores.tolist() == exact[best].tolist()
