@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from segue.operators.joins import spread_join
+from segue.operators.joins import fits_broadcast, lookup_join, spread_join
 from segue.sources.storage import stage
 
 # Usual notices by SPDX identifier.
@@ -27,8 +27,90 @@ NOTICES = (
     ("MPL-2.0", "This file is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
 
+# Whole notices of several lines: usual file headers, and licences that fit a short file.
+TEXTS = (
+    (
+        "Apache-2.0",
+        """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this
+        file except in compliance with the License. You may obtain a copy of the License at
+        http://www.apache.org/licenses/LICENSE-2.0
+        Unless required by applicable law or agreed to in writing, software distributed under
+        the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY
+        KIND, either express or implied. See the License for the specific language governing
+        permissions and limitations under the License.""",
+    ),
+    (
+        "BSD-3-Clause",
+        """Redistribution and use in source and binary forms, with or without modification, are
+        permitted provided that the following conditions are met:
+        1. Redistributions of source code must retain the above copyright notice, this list of
+        conditions and the following disclaimer.
+        2. Redistributions in binary form must reproduce the above copyright notice, this list
+        of conditions and the following disclaimer in the documentation and/or other materials
+        provided with the distribution.
+        3. Neither the name of the copyright holder nor the names of its contributors may be
+        used to endorse or promote products derived from this software without specific prior
+        written permission.
+        THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY
+        EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF
+        MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL
+        THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+        SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT
+        OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS
+        INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT
+        LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+        OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    ),
+    (
+        "GPL-3.0",
+        """This program is free software: you can redistribute it and/or modify it under the
+        terms of the GNU General Public License as published by the Free Software Foundation,
+        either version 3 of the License, or (at your option) any later version.
+        This program is distributed in the hope that it will be useful, but WITHOUT ANY
+        WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A
+        PARTICULAR PURPOSE. See the GNU General Public License for more details.
+        You should have received a copy of the GNU General Public License along with this
+        program. If not, see <https://www.gnu.org/licenses/>.""",
+    ),
+    (
+        "LGPL-3.0",
+        """This library is free software: you can redistribute it and/or modify it under the
+        terms of the GNU Lesser General Public License as published by the Free Software
+        Foundation, either version 3 of the License, or (at your option) any later version.
+        This library is distributed in the hope that it will be useful, but WITHOUT ANY
+        WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A
+        PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details.
+        You should have received a copy of the GNU Lesser General Public License along with
+        this library. If not, see <https://www.gnu.org/licenses/>.""",
+    ),
+    (
+        "MIT",
+        """Permission is hereby granted, free of charge, to any person obtaining a copy of this
+        software and associated documentation files (the "Software"), to deal in the Software
+        without restriction, including without limitation the rights to use, copy, modify,
+        merge, publish, distribute, sublicense, and/or sell copies of the Software, and to
+        permit persons to whom the Software is furnished to do so, subject to the following
+        conditions:
+        The above copyright notice and this permission notice shall be included in all copies or
+        substantial portions of the Software.
+        THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED,
+        INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR
+        PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE
+        LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT
+        OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR
+        OTHER DEALINGS IN THE SOFTWARE.""",
+    ),
+    (
+        "MPL-2.0",
+        """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.
+        If a copy of the MPL was not distributed with this file, You can obtain one at
+        https://mozilla.org/MPL/2.0/.""",
+    ),
+)
+
 MIN_COSINE = 0.8
 FILE_SHARE = 0.1
+SHORT_CHARS = 4_000  # files up to this size are compared as a whole, too
 
 
 def _words(text: Column) -> Column:
@@ -42,6 +124,7 @@ def _notice_words(text: str) -> list[str]:
 def license_scan(
     files: DataFrame,
     notices: Sequence[tuple[str, str]] = NOTICES,
+    texts: Sequence[tuple[str, str]] = TEXTS,
     id_col: str = "doc_id",
     folder_col: str = "folder",
     text_col: str = "text",
@@ -50,11 +133,13 @@ def license_scan(
 ) -> DataFrame:
     """(id, own_license, cosine, inherited_license, inherited_from, license).
 
-    Every line of the whole text is a possible notice. Lines and notices are
-    vectors of words, times by ln((1 + N) / (1 + df)) + 1, with df over all files
-    for words of notices and 0 for other words; a line's licence is that of the
-    notice with the largest cosine (6 decimals, of equal ones the first name) if
-    it reaches ``min_cosine``. The best line gives the file its own licence.
+    Every line of the whole text is a possible notice, and so are the joined
+    lines of a paragraph (up to an empty line) and the whole of a file of up to
+    ``SHORT_CHARS`` characters; all are compared with ``notices`` and ``texts``.
+    They are vectors of words, times by ln((1 + N) / (1 + df)) + 1, with df over
+    all files. The licence is that of the template with the largest cosine (6
+    decimals, of equal ones the first name) if it reaches ``min_cosine``. The
+    best one gives the file its own licence.
 
     A file whose notices hold at least ``file_share`` of its characters is a
     licence file of its folder; a folder's licence is the one most of those have
@@ -62,15 +147,16 @@ def license_scan(
     from the nearest folder that has one, its own or one above it; folders are
     paths with ``/``.
 
-    A line without any of the heaviest words of a notice cannot reach the limit,
-    so only lines with such a word are looked at. Words are counted before they
-    are shuffled, inheritance is worked out once per folder, and folders with
-    many files are spread when it is joined back.
+    What has none of the rarest words of a template cannot reach the limit, so
+    only lines, paragraphs and files with such a word are looked at. Words are
+    counted before they are shuffled, inheritance is worked out once per folder,
+    and folders with many files are spread when it is joined back.
 
     A NULL or empty text has no licence of its own; a NULL folder inherits
     nothing. Repeated rows are judged alike. An empty table gives no rows.
     """
-    vocabulary = sorted({w for _, text in notices for w in _notice_words(text)})
+    templates = [*notices, *texts]
+    vocabulary = sorted({w for _, text in templates for w in _notice_words(text)})
     known = F.array(*[F.lit(w) for w in vocabulary])
     total = files.count()
     counted = (
@@ -81,18 +167,17 @@ def license_scan(
     )
     df = {r["w"]: r["count"] for r in counted}
     idf = {w: math.log((1 + total) / (1 + df.get(w, 0))) + 1 for w in vocabulary}
-    other = math.log(1 + total) + 1
-    vectors, heavy = {}, set()
-    for name, text in notices:
+    vectors, rare = [], set()
+    for name, text in templates:
         weights = {w: n * idf[w] for w, n in Counter(_notice_words(text)).items()}
         norm = math.sqrt(sum(x * x for x in weights.values()))
-        vectors[name] = {w: x / norm for w, x in weights.items()}
-        # The rest of a notice alone gives a cosine of at most its own length.
+        vectors.append((name, {w: x / norm for w, x in weights.items()}))
+        # The rest of a template alone gives a cosine of at most its own length.
         rest = 1.0
-        for w, x in sorted(vectors[name].items(), key=lambda p: (-p[1], p[0])):
+        for w, x in sorted(vectors[-1][1].items(), key=lambda p: (-idf[p[0]], -p[1], p[0])):
             if rest < min_cosine**2 - 1e-6:
                 break
-            heavy.add(w)
+            rare.add(w)
             rest -= x * x
     versioned = files.select(
         F.col(id_col).cast("bigint").alias("id"),
@@ -100,38 +185,91 @@ def license_scan(
         F.col(folder_col).alias("folder"),
         F.col(text_col).alias("text"),
     )
-    lines = (
-        versioned.select(
-            "id", "version", "folder", F.char_length("text").alias("chars"),
-            F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"),
+    may_match = rf"(?<![\p{{L}}\p{{N}}])({'|'.join(sorted(rare))})(?![\p{{L}}\p{{N}}])"
+    parts = (
+        versioned.withColumn("chars", F.char_length("text"))
+        .filter(F.lower("text").rlike(may_match))
+        .select(
+            "id", "version", "folder", "chars",
+            F.when(F.col("chars") <= SHORT_CHARS, F.col("text")).alias("short"),
+            F.posexplode(F.split("text", r"\n\s*\n", -1)).alias("part", "passage"),
+        )
+        .filter(F.lower("passage").rlike(may_match))
+    )
+    # Unit -1 is the passage, -2 the file, others are lines; the same ones are met once.
+    lines = F.split("passage", "\n", -1)
+    units = F.concat(
+        F.transform(lines, lambda x, i: F.struct(i.alias("pos"), x.alias("words"))),
+        F.when(F.size(lines) > 1, F.array(F.struct(F.lit(-1).alias("pos"), F.col("passage").alias("words")))).otherwise(
+            F.array().cast("array<struct<pos:int,words:string>>")
+        ),
+    )
+    looked_at = (
+        parts.select("id", "version", "folder", "chars", "part", F.explode(units).alias("unit"))
+        .select("id", "version", "folder", "chars", "part", "unit.pos", F.col("unit.words").alias("line"))
+        .filter(F.lower("line").rlike(may_match))
+        .union(
+            parts.filter(F.col("short").isNotNull() & F.col("short").contains("\n")).select(
+                "id", "version", "folder", "chars", F.lit(-1).alias("part"), F.lit(-2).alias("pos"), F.col("short").alias("line")
+            )
         )
-        .filter(F.lower("line").rlike(rf"(?<![\p{{L}}\p{{N}}])({'|'.join(sorted(heavy))})(?![\p{{L}}\p{{N}}])"))
         .distinct()
     )
-    line = ["id", "version", "folder", "chars", "pos"]
-    weighed = (
-        lines.select(*line, F.char_length("line").alias("size"), F.explode(_words(F.col("line"))).alias("w"))
+    line = ["id", "version", "folder", "chars", "part", "pos"]
+    counts = stage(
+        looked_at.select(*line, F.char_length("line").alias("size"), _words(F.col("line")).alias("words"))
+        .select(*line, "size", F.explode("words").alias("w"))
         .groupBy(*line, "size", "w")
-        .agg(F.count("*").alias("n"))
-        .withColumn("x", F.col("n") * F.coalesce(_lookup(idf, "w"), F.lit(other)))
+        .agg(F.count("*").alias("n")),
+        "license-words",
+    )
+    asked = stage(counts.select("w").distinct(), "license-vocabulary")
+    every = files.select(F.explode(F.array_distinct(_words(F.col(text_col)))).alias("w"))
+    if fits_broadcast(asked):
+        found = every.join(F.broadcast(asked), "w", "left_semi").groupBy("w").agg(F.count("*").alias("df"))
+    else:
+        found = every.groupBy("w").agg(F.count("*").alias("df")).join(asked, "w", "left_semi")
+    spark = files.sparkSession
+    coordinates = spark.createDataFrame(
+        [(w, [v.get(w, 0.0) for _, v in vectors]) for w in vocabulary], "w string, at array<double>"
+    )
+    weights = stage(
+        found.join(F.broadcast(coordinates), "w", "left").select(
+            "w", (F.log(F.lit(1.0 + total) / (F.col("df") + 1)) + 1).alias("idf"), "at"
+        ),
+        "license-weights",
     )
-    cosines = weighed.groupBy(*line, "size").agg(
+    weighed = lookup_join(counts, weights, "w").withColumn("x", F.col("n") * F.col("idf"))
+    norms = weighed.groupBy(*line, "size").agg(
         F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"),
-        *[F.sum(F.col("x") * F.coalesce(_lookup(v, "w"), F.lit(0.0))).alias(f"c{i}") for i, v in enumerate(vectors.values())],
+        *[
+            F.sum(F.col("x") * F.coalesce(F.col("at")[i], F.lit(0.0))).alias(f"c{i}")
+            for i in range(len(vectors))
+        ],
     )
     best = F.array_min(
         F.array(
             *[
                 F.struct((-F.round(F.col(f"c{i}") / F.col("norm"), 6)).alias("minus"), F.lit(name).alias("name"))
-                for i, name in enumerate(vectors)
+                for i, (name, _) in enumerate(vectors)
             ]
         )
     )
+    size = lambda pos: F.coalesce(F.sum(F.when(pos, F.col("size"))), F.lit(0))
+    # Lines of a matching passage, and passages of a matching file, count once.
     own = stage(
-        cosines.select(*line, "size", best.alias("best"))
+        norms.select(*line, "size", best.alias("best"))
         .filter(F.col("best.minus") <= -min_cosine)
+        .groupBy("id", "version", "folder", "chars", "part")
+        .agg(
+            F.min("best").alias("best"),
+            F.greatest(size(F.col("pos") >= 0), size(F.col("pos") < 0)).alias("size"),
+        )
         .groupBy("id", "version", "folder", "chars")
-        .agg(F.min("best").alias("best"), F.sum("size").alias("size")),
+        .agg(
+            F.min("best").alias("best"),
+            F.greatest(size(F.col("part") >= 0), size(F.col("part") < 0)).alias("size"),
+        ),
         "own-licenses",
     )
     folders = (
@@ -180,11 +318,3 @@ def license_scan(
         F.when(without, F.col("inherited_from")).alias("inherited_from"),
         F.coalesce("best.name", "inherited_license").alias("license"),
     )
-
-
-def _lookup(values: dict[str, float], column: str) -> Column:
-    """The value of a word in a short list, NULL if it is not there."""
-    found = F.lit(None).cast("double")
-    for w, x in values.items():
-        found = F.when(F.col(column) == w, F.lit(x)).otherwise(found)
-    return found

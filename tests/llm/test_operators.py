@@ -3,6 +3,7 @@
 import math
 import re
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -10,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from segue.llm import oracle, quality
+from segue.llm import licenses, oracle, quality
 from segue.llm.decontaminate import clean_rows, contamination
 from segue.llm.licenses import license_scan
 from segue.llm.line_dedup import line_dedup
@@ -199,6 +200,35 @@ def test_licenses(spark):
     assert license_scan(files.limit(0)).count() == 0
 
 
+def test_license_lines_with_common_words(spark):
+    mit = dict(licenses.TEXTS)["MIT"]
+    common = "All that was under and on it is by the way of those."
+    mine = ["It is released under the MIT License.", "Released under the MIT License, and on it.",
+            "# Licensed under the Apache License,\n# Version 2.0.\ncode()", "MIT License\n\nCopyright 2020 A\n\n" + mit,
+            "\n\n".join(mit.split("\n")[:3]), "released mit"]
+    rows = [(i, str(i), t) for i, t in enumerate(mine)] + [(100 + i, "other", f"{common} w{i}") for i in range(900)]
+    files = spark.createDataFrame(rows, "doc_id long, folder string, text string")
+    got = {r.doc_id: r for r in license_scan(files).collect()}
+    bag = lambda t: Counter(re.findall(r"[^\W_]+", t.lower()))
+    df = Counter(w for _, _, t in rows for w in bag(t))
+    idf = lambda w: math.log((1 + len(rows)) / (1 + df[w])) + 1
+
+    def cosine(a, b):
+        a, b = ({w: n * idf(w) for w, n in bag(t).items()} for t in (a, b))
+        dot = sum(x * b.get(w, 0) for w, x in a.items())
+        return dot / math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+
+    for i, text in enumerate(mine):
+        units = [*text.split("\n"), *text.split("\n\n"), text]
+        units = [u for u in units if bag(u)]
+        best, name = max((cosine(u, t), n) for u in units for n, t in [*licenses.NOTICES, *licenses.TEXTS])
+        want = (name, round(best, 6)) if best >= 0.8 else (None, None)
+        assert got[i].own_license == want[0], i
+        assert got[i].cosine == (want[1] and pytest.approx(want[1], abs=2e-6))
+    assert [got[i].own_license for i in range(4)] == ["MIT", "MIT", "Apache-2.0", "MIT"]
+    assert got[100].own_license is None
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     counts = [docs.count()]
