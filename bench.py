@@ -100,14 +100,16 @@ def main():
     def als():
         id_map = models.track_id_map(tables.train)
         ratings = models.als_input(tables.train, id_map).cache()
-        model = models.fit_als(ratings, rank=16, maxIter=5)
+        model = models.fit_als(ratings)
         finish(models.als_item_vectors(model, id_map))
         ratings.unpersist()
 
     timed("fit_als", als)
 
     def word2vec():
-        model = models.fit_word2vec(split.sequences(tables.train), vectorSize=32, maxIter=1)
+        model = models.fit_word2vec(
+            split.sequences(tables.train, min_count=models.WORD2VEC_PARAMS["minCount"])
+        )
         finish(models.word_vectors(model))
 
     timed("fit_word2vec", word2vec)

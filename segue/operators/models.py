@@ -12,6 +12,7 @@ from segue.functions.vectors import is_nonzero, l2_norm
 from segue.operators.joins import lookup_join
 from segue.operators.ranking import dense_index
 from segue.operators.scoring import recommend
+from segue.operators.split import SEQUENCE_LENGTH
 from segue.sources.storage import stage
 
 # The hyperparameters of the two models.
@@ -28,6 +29,7 @@ WORD2VEC_PARAMS = {
     "vectorSize": 128,
     "windowSize": 5,
     "minCount": 5,
+    "maxSentenceLength": SEQUENCE_LENGTH,
     "maxIter": 5,
     "numPartitions": 8,
     "seed": 42,
@@ -129,6 +131,8 @@ def als_recommend_unseen(
 def fit_word2vec(track_sequences: DataFrame, **overrides) -> Word2VecModel:
     """Item vectors from ordered sequences.
 
+    Sequences in parts must come without the items below ``minCount``
+    (``sequences`` drops them), otherwise MLlib would cut elsewhere.
     MLlib keeps the vocabulary times the vector size on the driver: raise
     ``minCount`` when the number of items makes that too large.
     """

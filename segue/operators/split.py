@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from segue.functions.columns import hash_below, hash_word
 from segue.operators.joins import lookup_join, restrict_to, spread_join, without
-from segue.operators.ranking import top_per_group
+from segue.operators.ranking import group_positions, top_per_group
 from segue.sources.storage import stage
 
 # Scenario names and the number of leading items given as seeds.
@@ -19,7 +19,7 @@ SCENARIOS = {
     "first_100": 100,
 }
 
-# Longest sequence in one row; MLlib cuts its sentences at the same length.
+# Longest sequence in one row; the models cut their sentences at the same length.
 SEQUENCE_LENGTH = 1_000
 
 
@@ -76,20 +76,15 @@ def sequences(
     playlist_tracks: DataFrame,
     min_length: int = 5,
     part_length: int = SEQUENCE_LENGTH,
+    min_count: int = 1,
 ) -> DataFrame:
     """(pid, part, num_tracks, track_sequence): items in order of position.
 
     A playlist of up to ``part_length`` positions gives one row. A longer one
-    gives consecutive parts, so no task ever holds an unbounded list.
+    gives consecutive parts, so no task ever holds an unbounded list. Items with
+    fewer than ``min_count`` appearances in these playlists are dropped before
+    the cut, as MLlib does; ``num_tracks`` still counts them.
     """
-    parts = playlist_tracks.groupBy(
-        "pid", F.floor(F.col("pos") / part_length).alias("part")
-    ).agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("pos", "track_uri"))),
-            lambda entry: entry["track_uri"],
-        ).alias("track_sequence")
-    )
     # The length of the whole playlist decides, not that of a part.
     lengths = stage(
         playlist_tracks.groupBy("pid")
@@ -98,11 +93,40 @@ def sequences(
         "lengths",
     )
     counts = lengths.select("pid", F.col("num_tracks").alias("n"))
+    if min_count > 1:
+        playlist_tracks = _common_items(playlist_tracks, lengths, part_length, min_count)
+    parts = playlist_tracks.groupBy(
+        "pid", F.floor(F.col("pos") / part_length).alias("part")
+    ).agg(
+        F.transform(
+            F.array_sort(F.collect_list(F.struct("pos", "track_uri"))),
+            lambda entry: entry["track_uri"],
+        ).alias("track_sequence")
+    )
     return spread_join(parts, lengths, "pid", counts=counts).select(
         "pid", "part", "num_tracks", "track_sequence"
     )
 
 
+def _common_items(
+    rows: DataFrame, lengths: DataFrame, part_length: int, min_count: int
+) -> DataFrame:
+    """Rows of the playlists whose item is frequent enough, positions without gaps."""
+    rows = restrict_to(rows.select("pid", "track_uri", "pos"), lengths, "pid")
+    common = stage(
+        rows.groupBy("track_uri")
+        .agg(F.count("*").alias("n"))
+        .filter(F.col("n") >= min_count),
+        "common-items",
+    )
+    kept = restrict_to(rows, common, "track_uri").withColumn(
+        "_piece", F.floor(F.col("pos") / part_length)
+    )
+    order = ["pos", "track_uri"]
+    placed = group_positions(kept, ["pid"], "_piece", order, "_nth")
+    return placed.select("pid", "track_uri", F.col("_nth").alias("pos"))
+
+
 def in_vocabulary(rows: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """Rows whose item occurs in the training data."""
     return restrict_to(rows, vocabulary, "track_uri")

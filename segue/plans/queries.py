@@ -33,11 +33,12 @@ MIN_PAIRS = 3
 MIN_PAIRS_SAMPLED = 2
 LONG = 50
 FRACTION = 0.1
-N = 50
-SCENARIOS = {"title_only": 0, "first_5": 5, "first_10": 10, "first_25": 25}
+N = 500
+SCENARIOS = splits.SCENARIOS
 SIMILAR_TO = "item:1"
-ALS_SMALL = {"rank": 8, "maxIter": 3}
-WORD2VEC_SMALL = {"vectorSize": 16, "maxIter": 1, "numPartitions": 4}
+# The full sizes of the reference; the names are those that the SQL reads.
+ALS_SMALL = {"rank": 64, "maxIter": 10}
+WORD2VEC_SMALL = {"vectorSize": 128, "maxIter": 5}
 
 
 # --- ingest ------------------------------------------------------------------
@@ -569,7 +570,8 @@ def word_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fit_word2vec(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = purchases.playlist_tracks(spark, sf_dir)
     train = splits.train_split(rows, _reserved(spark, sf_dir))
-    track_sequences = stage(splits.sequences(train), "sequences")
+    common = splits.sequences(train, min_count=models.WORD2VEC_PARAMS["minCount"])
+    track_sequences = stage(common, "sequences")
     model = models.fit_word2vec(track_sequences, **WORD2VEC_SMALL)
     return models.word_vectors(model)
 

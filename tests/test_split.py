@@ -56,3 +56,14 @@ def test_sequences_are_ordered_and_long_ones_come_in_parts(spark, rows):
         (1, 1, 7, ["t3", "t4", "t5"]),
         (1, 2, 7, ["t6"]),
     ]
+
+
+def test_rare_items_leave_before_long_sequences_are_cut(spark, rows):
+    from segue.plans import queries
+
+    items = [f"r{i}" if i % 3 == 1 else f"t{i % 4}" for i in range(20)]
+    data = [(1, u, i) for i, u in enumerate(items)] + [(2, f"r{i}", i) for i in range(4)]
+    got = split.sequences(frame(spark, data[::-1]), part_length=5, min_count=2)
+    common = [u for u in items if u[0] == "t"]
+    assert rows(got) == [(1, n, 20, common[5 * n : 5 * n + 5]) for n in range(3)]
+    assert queries.N == 500 and queries.SCENARIOS == split.SCENARIOS
