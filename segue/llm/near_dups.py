@@ -23,6 +23,7 @@ SAMPLES = BANDS * ROWS
 # of 9, so fewer than this many agree once in about 50,000 cases.
 LONG_SAMPLES = 512
 LIKELY = 373
+LEAST_IDF = 1.8  # in all documents; so near 2 that a group's size hardly moves the limit
 FREQUENT = 2.5e-7  # documents per byte of text from which a shingle has its own weight
 BLOCK = 1024  # members of a bucket compared in one go
 LAST = (1 << 63) - 1
@@ -83,7 +84,7 @@ _ID_MASK = np.uint64((1 << _ID_BITS) - 1)
 
 
 class Weights:
-    """TF-IDF weights: times, by 1 for a shingle of all documents up to 2.
+    """TF-IDF weights: times, by ``LEAST_IDF`` for a shingle of all documents up to 2.
 
     2 holds for shingles below ``floor`` documents. The others come with their
     numbers of documents.
@@ -94,7 +95,8 @@ class Weights:
         self.ids, counts = ids[order], counts[order]
         scale = np.log(documents / floor) if documents > floor else 0.0
         if scale > 0:
-            self.idf = 1 + np.clip(np.log(documents / counts) / scale, 0, 1)
+            rare = np.clip(np.log(documents / counts) / scale, 0, 1)
+            self.idf = LEAST_IDF + (2 - LEAST_IDF) * rare
         else:
             self.idf = np.full(len(counts), 2.0)
         self.maybe = np.zeros(1 << 20, bool)

@@ -103,6 +103,22 @@ def test_planted_texts(spark, planted, monkeypatch):
     assert sorted((r.doc_id, r.class_id) for r in got) == brute_force(planted)
 
 
+def test_copies_stay_linked_in_a_group_of_a_third(spark):
+    draw = random.Random(9)
+    base = [f"w{i}" for i in range(60)]
+    rows = [(0, " ".join(base))]
+    for key in range(1, 201):
+        copy = list(base)
+        copy[draw.randrange(4, 56)] = f"edit{key}"  # plain Jaccard 51 / 61 to the base
+        rows.append((key, " ".join(copy)))
+    rows += [(key, " ".join(f"y{key}x{i}" for i in range(60))) for key in range(201, 600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    classes = {r.doc_id: r.class_id for r in near_duplicates(docs).collect()}
+    assert {classes[key] for key in range(201)} == {0}
+    assert all(classes[key] == key for key in range(201, 600))
+    assert one_of_each(docs).count() == 400
+
+
 def test_one_row_of_each_class_stays(spark, planted):
     docs = spark.createDataFrame(planted, "doc_id long, text string").select(
         "*", F.lit("x").alias("node"), F.lit(1).alias("v1"), F.lit(2).alias("label")
