@@ -127,7 +127,8 @@ def top_k(
     Rows with a NULL id, and vectors that are NULL or hold a NULL, NaN or
     infinity, take no part. A shorter vector counts as if zeros followed. Rows
     with the id of the query are never its results; other ids that occur several
-    times are several results. An empty table, or one without queries, gives no
+    times are several results. Equal query rows, id and vector, give one list;
+    different vectors under one id give a list each. An empty table, or one without queries, gives no
     rows.
     """
     sound = stage(
@@ -147,26 +148,29 @@ def top_k(
         "id",
         "vector",
     )
-    asked = sound.filter("asks").select(
+    asked = sound.filter("asks").select("id", "vector").distinct().select(
         F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
         F.pmod(F.xxhash64("id", F.lit(1)), F.lit(groups)).cast("int").alias("group"),
         "id",
+        F.xxhash64("vector").alias("key"),
         "vector",
     )
-    schema = pa.schema([("query_id", pa.int64()), ("id", pa.int64()), ("score", pa.int64())])
+    schema = pa.schema([("query_id", pa.int64()), ("key", pa.int64()), ("id", pa.int64()), ("score", pa.int64())])
 
     def search(queries: pa.Table, shard: pa.Table) -> pa.Table:
         query_ids, query_rows = _block(queries)
+        query_keys = queries.column("key").to_numpy()
         ids, rows = _block(shard)
         width = max(rows.shape[1], query_rows.shape[1])
         rows = np.pad(rows, ((0, 0), (0, width - rows.shape[1])))
         query_rows = np.pad(query_rows, ((0, 0), (0, width - query_rows.shape[1])))
-        found = [[], [], []]
+        found = [[], [], [], []]
         if len(ids):
             index = ImpactIndex(ids, rows)
             results = index.search(query_ids, query_rows, k)
-            for query_id, (best, scores) in zip(query_ids, results, strict=True):
-                for column, values in zip(found, (np.full(len(best), query_id), best, scores), strict=True):
+            for query_id, key, (best, scores) in zip(query_ids, query_keys, results, strict=True):
+                own = np.full(len(best), query_id), np.full(len(best), key)
+                for column, values in zip(found, (*own, best, scores), strict=True):
                     column.append(values)
         columns = [np.concatenate([np.zeros(0, np.int64), *c]).astype(np.int64) for c in found]
         return pa.Table.from_arrays([pa.array(c) for c in columns], schema=schema)
@@ -175,9 +179,9 @@ def top_k(
     local = (
         asked.groupBy(*keys)
         .cogroup(index.groupBy(*keys))
-        .applyInArrow(search, "query_id bigint, id bigint, score bigint")
+        .applyInArrow(search, "query_id bigint, key bigint, id bigint, score bigint")
     )
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), "id")
+    order = W.partitionBy("query_id", "key").orderBy(F.desc("score"), "id")
     return (
         local.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)

@@ -158,6 +158,21 @@ def test_topk(spark):
     assert top_k(df.limit(0), F.col("vec_id") % 50 == 0, 5).count() == 0
 
 
+def test_topk_of_repeated_query_rows(spark):
+    draw = np.random.default_rng(4)
+    rows = [(i, draw.normal(0, 0.3, 8).tolist()) for i in range(60)]
+    rows += [(0, rows[0][1]), (0, rows[0][1]), (50, rows[1][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = top_k(df, F.col("vec_id") % 50 == 0, 5).collect()
+    ints = [(i, np.floor(256 * np.array(v, np.float32).astype(float)).astype(int)) for i, v in rows]
+    want = []
+    for at in (0, 50, 62):
+        own, query = ints[at]
+        best = sorted((-(query @ v), i) for i, v in ints if i != own)[:5]
+        want += [(own, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == sorted(want)
+
+
 def test_contamination_in_blocks(spark, monkeypatch):
     from segue.llm import decontaminate
 
