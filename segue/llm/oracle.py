@@ -215,6 +215,89 @@ SELECT f.doc_id, o.own_license, o.cosine,
 FROM files f LEFT JOIN own o USING (doc_id) LEFT JOIN inherited i ON f.folder = i.folder
 """
 
+# crc32 by its definition: a shift for each bit of each digit.
+_PERIODIC_RUNS = r"""
+WITH given AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+           xor(4294967295, list_reduce(
+               list_concat([4294967295::BIGINT], list_transform(
+                   string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+               lambda crc, byte: list_reduce(
+                   list_concat([xor(crc, byte)], [0, 1, 2, 3, 4, 5, 6, 7]::BIGINT[]),
+                   lambda c, bit: xor(c >> 1, 3988292384 * (c & 1))))) AS h
+    FROM documents
+), numbers AS (
+    SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS planted,
+           (h // 10) % greatest(len(w), 1) AS a, 3 + (h // 10) % 8 AS times
+    FROM given
+), words AS (
+    SELECT doc_id, n, i, w[1 + CASE WHEN planted AND i >= a THEN a + (i - a) % (1 + (n - a) // times) ELSE i END] AS word
+    FROM numbers, unnest(range(n)) AS t(i)
+), equal AS (
+    SELECT x.doc_id, x.i, y.i - x.i AS q
+    FROM words x JOIN words y ON x.doc_id = y.doc_id AND x.word = y.word
+    WHERE y.i > x.i AND 3 * (y.i - x.i) <= x.n
+), streaks AS (
+    SELECT doc_id, q, min(i) AS start, count(*) + q AS length
+    FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS streak FROM equal)
+    GROUP BY doc_id, q, streak HAVING count(*) + q >= greatest(24, 3 * q)
+), runs AS (
+    SELECT doc_id, start, length, min(q) AS period FROM streaks GROUP BY doc_id, start, length
+), lists AS (
+    SELECT doc_id, count(*) AS n_runs,
+           string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+    FROM runs GROUP BY doc_id
+), best AS (
+    SELECT * FROM runs r WHERE NOT EXISTS (
+        SELECT 1 FROM runs o WHERE o.doc_id = r.doc_id AND (
+            o.length * r.period > r.length * o.period OR o.length * r.period = r.length * o.period
+            AND (o.start < r.start OR o.start = r.start AND o.period < r.period)))
+), gone AS (
+    SELECT DISTINCT doc_id, i FROM runs, unnest(range(start + period, start + length)) AS t(i)
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS words
+    FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT g.doc_id, coalesce(l.n_runs, 0) AS n_runs, b.start, b.length, b.period,
+       1000 * b.length // b.period AS exponent_milli, sha256(coalesce(l.lines, '')) AS runs_sha256,
+       sha256(coalesce(k.words, '')) AS collapsed_sha256
+FROM given g LEFT JOIN lists l USING (doc_id) LEFT JOIN best b USING (doc_id) LEFT JOIN kept k USING (doc_id)
+"""
+
+_LEXICAL_SEARCH = r"""
+WITH doc_terms AS (
+    SELECT doc_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM documents
+), item_terms AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM doc_terms GROUP BY doc_id
+), totals AS (
+    SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes
+), counts AS (
+    SELECT doc_id, term, count(*) AS tf FROM doc_terms WHERE term IN (SELECT term FROM item_terms)
+    GROUP BY doc_id, term
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+    FROM counts, totals GROUP BY term, docs
+), gains AS (
+    SELECT c.doc_id, c.term,
+           w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // terms))) AS gain
+    FROM counts c JOIN weights USING (term) JOIN sizes USING (doc_id), totals
+), scores AS (
+    SELECT item_id, doc_id, CAST(sum(gain) AS BIGINT) AS score
+    FROM item_terms JOIN gains USING (term) GROUP BY item_id, doc_id HAVING sum(gain) > 0
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+       doc_id, score
+FROM scores QUALIFY rank <= 50
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -226,4 +309,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_url_filter": _URL_FILTER,
         "op7_topk": _TOPK,
         "op9_decontamination": _DECONTAMINATION,
+        "op12_periodic_runs": _PERIODIC_RUNS,
+        "op13_lexical_search": _LEXICAL_SEARCH,
     }
