@@ -87,5 +87,10 @@ def hash_below(key: Column, fraction: float, seed: int = 0) -> Column:
 
 
 def relative_gain(value: Column, base: Column) -> Column:
-    """Gain over ``base`` in percent; NULL where the base is not positive."""
-    return F.when(base > 0, (value - base) / base * 100.0)
+    """Gain over ``base`` in percent; NULL where the base is not positive, never -0.0."""
+    return F.when(base > 0, unsigned_zero((value - base) / base * 100.0))
+
+
+def unsigned_zero(value: Column) -> Column:
+    """The same number, with 0.0 for -0.0."""
+    return F.when(value == 0.0, F.lit(0.0)).otherwise(value)

@@ -96,3 +96,124 @@ def top_kernel(keys: list[str]) -> Callable[[pa.Table, pa.Table], pa.Table]:
         return pa.table({**columns, "score": np.concatenate(values)})
 
     return top
+
+
+# --- packed blocks ------------------------------------------------------------
+
+
+def _vectors(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """Lists of one length, none missing, as rows of a matrix."""
+    lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lists), -1)
+
+
+def _unpack(ids: bytes, vectors: bytes) -> tuple[np.ndarray, np.ndarray]:
+    ids = np.frombuffer(ids, np.int64)
+    return ids, np.frombuffer(vectors, np.float64).reshape(len(ids), -1)
+
+
+def pack_items(rows: pa.Table) -> pa.Table:
+    """One row for a block of items; they come in order of their ids."""
+    order = np.argsort(rows["item_id"].to_numpy(), kind="stable")
+    return pa.table(
+        {
+            "block": pa.array([rows["block"][0].as_py()], pa.int64()),
+            "ids": pa.array([rows["item_id"].to_numpy()[order].astype(np.int64).tobytes()], pa.binary()),
+            "vectors": pa.array([_vectors(rows["features"])[order].tobytes()], pa.binary()),
+            "longest": pa.array([float(rows["norm"].to_numpy().max())]),
+        }
+    )
+
+
+def pack_users(rows: pa.Table) -> pa.Table:
+    """One row for a block of users, with their floors and the largest reach."""
+    return pa.table(
+        {
+            "level": pa.array([rows["level"][0].as_py()], pa.int32()),
+            "part": pa.array([rows["part"][0].as_py()], pa.int64()),
+            "ids": pa.array([rows["user_id"].to_numpy().astype(np.int64).tobytes()], pa.binary()),
+            "vectors": pa.array([_vectors(rows["features"]).tobytes()], pa.binary()),
+            "floors": pa.array([rows["floor"].to_numpy().astype(np.float64).tobytes()], pa.binary()),
+            "reach": pa.array([int(rows["reach"].to_numpy().max())], pa.int64()),
+        }
+    )
+
+
+def _best(
+    people: np.ndarray, items: np.ndarray, floors: np.ndarray, n: int
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(positions, scores) of the n best items of each user that reach its floor.
+
+    The product only chooses; a margin keeps what its rounding might lose. Scores are
+    then summed pair by pair, which gives equal vectors equal scores.
+    """
+    step = max(1, SLICE_CELLS // max(1, len(items)))
+    length = np.sqrt((items * items).sum(axis=1)).max(initial=0.0)
+    for first in range(0, len(people), step):
+        some = people[first : first + step]
+        margins = 1e-12 * length * np.sqrt((some * some).sum(axis=1)) * max(1, some.shape[1])
+        for x, row, margin, floor in zip(some, some @ items.T, margins, floors[first : first + step], strict=True):
+            cut = floor - margin
+            if n < row.size:
+                cut = max(cut, np.partition(row, row.size - n)[row.size - n] - margin)
+            near = np.flatnonzero(row >= cut)
+            exact = (items[near] * x).sum(axis=1)
+            chosen = best_positions(exact, n, floor)
+            yield near[chosen], exact[chosen]
+
+
+def first_kernel(
+    ids: bytes, vectors: bytes, longest: list[float], n: int
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Lists of users from the first block of items, and how many blocks may matter."""
+    falling = -np.array(longest)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, items = _unpack(ids, vectors)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            people = _vectors(batch.column(1))
+            floors, reach, found, scores = [], [], [], []
+            lengths = np.sqrt((people * people).sum(axis=1))
+            for x, (at, values) in zip(lengths, _best(people, items, np.full(len(people), -np.inf), n), strict=True):
+                floor = float(values.min()) if len(values) >= n else -np.inf
+                # Blocks whose longest item may reach the floor, the rounding included.
+                least = (floor - 1e-9 * abs(floor)) / x if x > 0 and floor > 0 else -np.inf
+                floors.append(floor)
+                reach.append(int(np.searchsorted(falling, -least, side="right")))
+                found.append(names[at])
+                scores.append(values)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array(floors, pa.float64()),
+                    pa.array(reach, pa.int64()),
+                    pa.array(found, pa.list_(pa.int64())),
+                    pa.array(scores, pa.list_(pa.float64())),
+                ],
+                ["user_id", "features", "floor", "reach", "items", "scores"],
+            )
+
+    return search
+
+
+def meet_kernel(n: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """The n best items of a block for the users of some blocks, from their floors up."""
+
+    def meet(shown: pa.Table, asked: pa.Table) -> pa.Table:
+        owner, found, scores = ([np.empty(0, kind)] for kind in (np.int64, np.int64, np.float64))
+        for i in range(shown.num_rows):
+            names, items = _unpack(shown["ids"][i].as_py(), shown["vectors"][i].as_py())
+            for j in range(asked.num_rows):
+                users, people = _unpack(asked["user_ids"][j].as_py(), asked["user_vectors"][j].as_py())
+                floors = np.frombuffer(asked["floors"][j].as_py(), np.float64)
+                for user, (at, values) in zip(users, _best(people, items, floors, n), strict=True):
+                    owner.append(np.full(at.size, user))
+                    found.append(names[at])
+                    scores.append(values)
+        columns = [np.concatenate(x) for x in (owner, found, scores)]
+        return pa.table(dict(zip(["user_id", "item_id", "score"], columns, strict=True)))
+
+    return meet

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import Word2Vec, Word2VecModel
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from segue.functions.vectors import is_nonzero, l2_norm
-from segue.operators.joins import lookup_join
+from segue.operators.blocks import top_by_product
+from segue.operators.joins import lookup_join, spread_join
 from segue.operators.ranking import dense_index
-from segue.operators.scoring import recommend
+from segue.operators.scoring import VECTOR_ROWS, recommend
 from segue.operators.split import SEQUENCE_LENGTH
 from segue.sources.storage import stage
 
@@ -42,20 +48,36 @@ def track_id_map(train: DataFrame) -> DataFrame:
     return dense_index(items, [F.col("track_uri")], "track_id")
 
 
+def user_id_map(train: DataFrame) -> DataFrame:
+    """(pid, user_id): dense numbers of the collections, in the order of pid.
+
+    MLlib takes 32-bit ids. Collections are counted, not pids, so any pid will
+    do as long as there are fewer than 2^31 collections.
+    """
+    return dense_index(train.select("pid").distinct(), [F.col("pid")], "user_id")
+
+
 def als_input(
-    train: DataFrame, id_map: DataFrame, baseline: DataFrame | None = None
+    train: DataFrame,
+    id_map: DataFrame,
+    baseline: DataFrame | None = None,
+    users: DataFrame | None = None,
 ) -> DataFrame:
     """(user_id, item_id, rating): every appearance counts as 1.0.
 
-    MLlib takes 32-bit ids; the casts fail loudly beyond that range. The counts
+    MLlib takes 32-bit ids; the casts fail loudly beyond that range. ``users`` (a
+    stored user_id_map) gives the user ids; without it they are the pids. The counts
     of ``baseline``, if given, tell which items are hot.
     """
     counts = baseline
     if baseline is not None:
         counts = baseline.select("track_uri", F.col("playlist_count").alias("n"))
     rows = train.select("pid", "track_uri")
-    return lookup_join(rows, id_map, "track_uri", counts=counts).select(
-        F.col("pid").cast("int").alias("user_id"),
+    rows = lookup_join(rows, id_map, "track_uri", counts=counts)
+    if users is not None:
+        rows = lookup_join(rows, users, "pid")
+    return rows.select(
+        F.col("pid" if users is None else "user_id").cast("int").alias("user_id"),
         F.col("track_id").cast("int").alias("item_id"),
         F.lit(1.0).cast("float").alias("rating"),
     )
@@ -76,17 +98,19 @@ def als_recommend(
 ) -> DataFrame:
     """Top ``n`` items of the given users with names, in order of rank.
 
-    Items a user already has are not left out; see als_recommend_unseen.
+    The vectors meet in packed blocks, and blocks of items that cannot add to a
+    user's list are skipped (top_by_product); MLlib would multiply every user by
+    every item. Equal scores are ordered by URI. Users without a vector have no
+    list. Items a user already has are not left out; see als_recommend_unseen.
     """
-    listed = (
-        model.recommendForUserSubset(users.select("user_id"), n)
-        .select("user_id", F.posexplode("recommendations").alias("at", "rec"))
-        .select(
-            "user_id",
-            (F.col("at") + 1).cast("bigint").alias("rank"),
-            F.col("rec.item_id").cast("bigint").alias("track_id"),
-            F.col("rec.rating").alias("als_score"),
-        )
+    vectors = model.userFactors.select(F.col("id").alias("user_id"), "features")
+    asked = users.select(F.col("user_id").cast("int").alias("user_id")).distinct()
+    items = model.itemFactors.select(F.col("id").alias("item_id"), "features")
+    listed = top_by_product(vectors.join(asked, "user_id"), items, n).select(
+        F.col("user_id").cast("int").alias("user_id"),
+        "rank",
+        F.col("item_id").alias("track_id"),
+        F.col("score").cast("float").alias("als_score"),
     )
     labels = tracks.select("track_uri", "track_name", "artist_name")
     named = lookup_join(listed, id_map.join(labels, "track_uri"), "track_id")
@@ -151,9 +175,77 @@ def als_item_vectors(model: ALSModel, id_map: DataFrame) -> DataFrame:
     return factors.join(id_map, "track_id").select("track_uri", "features")
 
 
-def als_user_vectors(model: ALSModel) -> DataFrame:
-    """(pid, features) of the ALS users."""
-    return model.userFactors.select(F.col("id").cast("bigint").alias("pid"), "features")
+def als_user_vectors(model: ALSModel, users: DataFrame | None = None) -> DataFrame:
+    """(pid, features) of the ALS users; ``users`` as in als_input."""
+    factors = model.userFactors.select(F.col("id").cast("bigint").alias("user_id"), "features")
+    if users is None:
+        return factors.withColumnRenamed("user_id", "pid")
+    return factors.join(users, "user_id").select("pid", "features")
+
+
+def als_residuals(model: ALSModel, ratings: DataFrame, reg: float, alpha: float) -> DataFrame:
+    """(user_id, ratings, residual): how well each user vector solves its equations.
+
+    With the item vectors y, a user with ratings r of n items minimises the
+    weighted squares of implicit feedback where
+
+        (sum over all items of y y' + sum over its own of alpha r y y' + reg n) x
+            = sum over its own of (1 + alpha r) y
+
+    ``residual`` is the length of the difference of both sides over that of the right
+    one. MLlib solves for the users last, so a fitted model leaves little but the
+    rounding of 32-bit vectors.
+
+    The matrix of all items is summed up per task and reaches the driver as
+    rank x rank numbers. What a user's own items add is a multiple of each y,
+    summed up before the shuffle, so a user with very many items is no single task.
+    """
+    items = stage(
+        model.itemFactors.select(F.col("id").alias("item_id"), F.col("features").alias("y")), "item-vectors"
+    )
+    people = model.userFactors.select(F.col("id").alias("user_id"), F.col("features").alias("x"))
+    rank = model.rank
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((rank, rank))
+        for batch in batches:
+            rows = batch.column(0).flatten().to_numpy().astype(np.float64).reshape(-1, rank)
+            total += rows.T @ rows
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(rank)), pa.array(list(total), pa.list_(pa.float64()))], ["i", "row"]
+        )
+
+    sums = items.select("y").mapInArrow(add_up, "i bigint, row array<double>")
+    sums = sums.groupBy("i").agg(Summarizer.sum(array_to_vector("row")).alias("row")).collect()
+    gram = np.array([r.row.toArray() for r in sorted(sums, key=lambda r: r.i)]).reshape(rank, rank)
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.column(1).flatten().to_numpy().astype(np.float64).reshape(-1, rank)
+            products = pa.array(list(rows @ gram), pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, products], ["user_id", "x", "of_all"])
+
+    folded = ratings.groupBy("user_id", "item_id", "rating").agg(F.count("*").alias("m"))
+    own = lookup_join(folded, items, "item_id", limit=VECTOR_ROWS)
+    own = spread_join(own, people, "user_id")
+    more = F.col("rating") * F.lit(alpha)
+    product = _dot(F.col("x"), F.col("y"))
+    times = lambda column: array_to_vector(F.transform("y", lambda v: v.cast("double") * column))
+    parts = own.groupBy("user_id").agg(
+        F.sum("m").alias("ratings"),
+        vector_to_array(Summarizer.sum(times(F.col("m") * (more * product - more - 1)))).alias("left"),
+        vector_to_array(Summarizer.sum(times(F.col("m") * (more + 1)))).alias("right"),
+    )
+    both = parts.join(people.mapInArrow(multiply, "user_id int, x array<float>, of_all array<double>"), "user_id")
+    own_share = F.zip_with("left", "x", lambda v, x: v + F.col("ratings") * F.lit(reg) * x)
+    return both.withColumn("gap", F.zip_with("of_all", own_share, lambda v, w: v + w)).select(
+        "user_id", "ratings", (l2_norm(F.col("gap")) / l2_norm(F.col("right"))).alias("residual")
+    )
+
+
+def _dot(left: Column, right: Column) -> Column:
+    products = F.zip_with(left, right, lambda a, b: a.cast("double") * b)
+    return F.aggregate(products, F.lit(0.0), lambda total, p: total + p)
 
 
 def word_vectors(model: Word2VecModel) -> DataFrame:

@@ -6,19 +6,62 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segue.functions.columns import hash_below
-from segue.operators.joins import fits_broadcast, restrict_to
+from segue.operators.joins import fits_broadcast, restrict_to, spread_join
 from segue.sources.storage import stage
 
 # Different items of one collection that a single task pairs with each other.
 CHUNK = 4_000
 
 
-def pair_counts(rows: DataFrame, min_count: int, chunk: int = CHUNK) -> DataFrame:
+def support_bounds(folded: DataFrame) -> DataFrame:
+    """(track_uri, bound): no pair with this item can be counted more often.
+
+    ``folded`` is (pid, track_uri, m). In a collection an item adds at most its own
+    m times the largest m among the others, and ``bound`` is the sum of that. A
+    collection gives its largest two m's from the numbers of items per m, of which
+    there are few, so neither a long collection nor a frequent item is gathered.
+    """
+    levels = folded.groupBy("pid", "m").agg(F.count("*").alias("items"))
+    first, second = F.get("top", F.lit(0)), F.get("top", F.lit(1))
+    tops = (
+        levels.groupBy("pid")
+        .agg(F.slice(F.sort_array(F.collect_list(F.struct("m", "items")), asc=False), 1, 2).alias("top"))
+        .select(
+            "pid",
+            first["m"].alias("most"),
+            # The largest m among the others of the item that has the most.
+            F.when(first["items"] > 1, first["m"]).otherwise(F.coalesce(second["m"], F.lit(0))).alias("next"),
+        )
+    )
+    largest_other = F.when(F.col("m") < F.col("most"), F.col("most")).otherwise(F.col("next"))
+    sizes = levels.groupBy("pid").agg(F.sum("items").alias("n"))
+    return (
+        spread_join(folded, tops, "pid", counts=sizes)
+        .groupBy("track_uri")
+        .agg(F.sum(F.col("m") * largest_other).alias("bound"))
+    )
+
+
+def supported(folded: DataFrame, min_count: int) -> DataFrame:
+    """The rows of items that can occur ``min_count`` times in a pair; stored.
+
+    Exact: items below the bound have no such pair, and the counts of all other
+    pairs do not depend on them.
+    """
+    bounds = support_bounds(folded)
+    able = stage(bounds.filter(F.col("bound") >= min_count).select("track_uri"), "able-items")
+    return stage(restrict_to(folded, able, "track_uri"), "supported")
+
+
+def pair_counts(
+    rows: DataFrame, min_count: int, chunk: int = CHUNK, prune: bool = True
+) -> DataFrame:
     """(track_uri_1, track_uri_2, co_count) with track_uri_1 < track_uri_2.
 
     Repeats are folded first: an item m times and another k times in the same
     collection add m * k, as pairing every appearance would. The folded rows
-    are staged because both sides of the self join read them.
+    are staged because both sides of the self join read them. With ``prune``,
+    items that cannot reach ``min_count`` with any other leave before it.
 
     A collection with more than ``chunk`` different items is cut into g pieces
     and its pairs into g * (g + 1) / 2 cells, one per pair of pieces. Each pair
@@ -28,6 +71,8 @@ def pair_counts(rows: DataFrame, min_count: int, chunk: int = CHUNK) -> DataFram
     folded = stage(
         rows.groupBy("pid", "track_uri").agg(F.count("*").alias("m")), "folded"
     )
+    if prune and min_count > 1:
+        folded = supported(folded, min_count)
     long = (
         folded.groupBy("pid")
         .agg(F.count("*").alias("n"))

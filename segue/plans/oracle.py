@@ -8,14 +8,20 @@ from __future__ import annotations
 
 from segue.plans.queries import (
     ALS_SMALL,
+    FILES,
     FRACTION,
+    LITERAL_USERS,
     LONG,
     MIN_PAIRS,
     MIN_PAIRS_SAMPLED,
     N,
+    NATION_FRACTION,
     SCENARIOS,
     SIMILAR_TO,
+    SLICE_PIDS,
     TOP_ITEMS,
+    TOP_PRODUCTS,
+    WIDE,
     WORD2VEC_SMALL,
 )
 
@@ -546,7 +552,7 @@ def oracle_sql() -> dict[str, str]:
         """
         SELECT s.scenario, s.model,
                CASE WHEN b.r_precision > 0 THEN
-                   round((s.r_precision - b.r_precision) / b.r_precision * 100, 4)
+                   round((s.r_precision - b.r_precision) / b.r_precision * 100, 4) + 0.0
                END AS gain_pct
         FROM summary s JOIN summary b USING (scenario)
         WHERE b.model = 'Popularity' AND s.model <> 'Popularity'""",
@@ -574,9 +580,9 @@ def oracle_sql() -> dict[str, str]:
                    ORDER BY playlist_count DESC, track_uri LIMIT {N}),
         given AS (SELECT DISTINCT pid, track_uri
                   FROM validation JOIN requests USING (pid) WHERE pos < num_samples)
-        SELECT pid, 'wrong_count' AS violation, CAST({N} AS BIGINT) AS detail
+        SELECT pid, 'wrong_count' AS violation, (SELECT count(*) FROM head) AS detail
         FROM requests
-        UNION ALL SELECT pid, 'duplicates', {N} FROM requests
+        UNION ALL SELECT pid, 'duplicates', (SELECT count(*) FROM head) FROM requests
         UNION ALL SELECT pid, 'seed_overlap', count(*)
                   FROM given JOIN head USING (track_uri) GROUP BY pid""",
     )
@@ -587,6 +593,76 @@ def oracle_sql() -> dict[str, str]:
                CAST(count(*) AS DOUBLE) AS rating
         FROM train JOIN ids USING (track_uri) GROUP BY 1, 2""",
     )
+    sql["slice_quarantine"] = _with(
+        ["pt"],
+        f"""
+        , files AS (SELECT pid // {SLICE_PIDS} AS slice, count(DISTINCT pid) AS playlists, count(*) AS tracks
+                    FROM pt GROUP BY 1),
+        judged AS (SELECT *, CASE WHEN slice % 7 = 3 THEN 'malformed' WHEN slice % 5 = 4 THEN 'no playlists'
+                                  ELSE 'read' END AS status FROM files)
+        SELECT status, count(*) AS files,
+               CAST(sum(CASE WHEN status = 'read' THEN playlists ELSE 0 END) AS BIGINT) AS playlists,
+               CAST(sum(CASE WHEN status = 'read' THEN tracks ELSE 0 END) AS BIGINT) AS tracks
+        FROM judged GROUP BY status""",
+    )
+    sql["literal_queries"] = _with(
+        ["pt"],
+        f"""SELECT pid, count(*) AS num_tracks FROM pt
+            WHERE pid IN ({", ".join(map(str, LITERAL_USERS))}) GROUP BY pid""",
+    )
+    sql["file_count"] = _with(
+        ["pt"], f"SELECT CAST({FILES} AS BIGINT) AS files, count(*) AS num_rows FROM pt"
+    )
+    sql["table_layout"] = _with(
+        ["heads"],
+        """SELECT collaborative, count(*) AS playlists, CAST(sum(num_tracks) AS BIGINT) AS tracks
+           FROM heads WHERE collaborative GROUP BY collaborative""",
+    )
+    sql["eval_first_100"] = _with(
+        ["summary"],
+        """SELECT scenario, model, round(r_precision, 6) AS r_precision, round(ndcg, 6) AS ndcg,
+                  round(clicks, 6) AS clicks, evaluated FROM summary""",
+        {
+            "pt": """
+                SELECT CAST(c_nationkey AS BIGINT) AS pid,
+                       'item:' || CAST(l_partkey AS VARCHAR) AS track_uri,
+                       row_number() OVER (
+                           PARTITION BY c_nationkey
+                           ORDER BY o_orderdate, l_orderkey, l_linenumber, l_partkey,
+                                    l_suppkey, l_extendedprice) - 1 AS pos
+                FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+                JOIN customer ON c_custkey = o_custkey""",
+            "heads": "SELECT pid, num_tracks, 'nation' AS name FROM lengths",
+            "reserved": f"""
+                SELECT pid, name FROM (
+                    SELECT pid, name, num_tracks, {_drawn("pid", 0)} AS draw FROM heads)
+                WHERE num_tracks >= 100 AND draw < {NATION_FRACTION} * 4294967296""",
+        },
+    )
+    sql["als_wide_ids"] = _with(
+        ["train"],
+        f"""SELECT pid + {WIDE} AS pid, row_number() OVER (ORDER BY pid) - 1 AS user_id, n AS ratings
+            FROM (SELECT pid, count(*) AS n FROM train GROUP BY pid)""",
+    )
+    sql["als_residuals"] = _with(
+        ["train"], "SELECT pid, count(*) AS ratings, true AS solved FROM train GROUP BY pid"
+    )
+    sql["model_roundtrip"] = _with(
+        ["ids"],
+        f"SELECT track_uri, CAST({ALS_SMALL['rank']} AS BIGINT) AS dim, true AS same FROM ids",
+    )
+    sql["top_items_by_product"] = _with(
+        ["pt", "normed"],
+        f"""
+        , means AS (SELECT pid, dim, avg(x) AS m FROM (
+                SELECT pid, unnest(v) AS x, unnest(range(len(v))) AS dim
+                FROM pt JOIN normed USING (track_uri) WHERE norm > 0) GROUP BY ALL),
+        people AS (SELECT pid, list(m ORDER BY dim) AS p FROM means GROUP BY pid),
+        scored AS (SELECT pid, track_uri, list_dot_product(p, v) AS score FROM people, factors)
+        SELECT pid, row_number() OVER (PARTITION BY pid ORDER BY score DESC, track_uri) AS rank,
+               track_uri, round(score, 6) AS score
+        FROM scored QUALIFY rank <= {TOP_PRODUCTS}""",
+    )
     sql["als_item_dims"] = _with(
         ["ids"], f"SELECT track_uri, CAST({ALS_SMALL['rank']} AS BIGINT) AS dim FROM ids"
     )

@@ -11,10 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segue.functions.columns import flag
+from segue.functions.columns import flag, unsigned_zero
 from segue.functions.vectors import l2_norm, normalize
 from segue.operators import counting, evaluate, ingest, models, pairs, profile, scoring
 from segue.operators import split as splits
+from segue.operators.blocks import top_by_product
 from segue.operators.verify import verify_recommendations
 from segue.plans.continuation import (
     Split,
@@ -25,7 +26,15 @@ from segue.plans.continuation import (
     split_tables,
 )
 from segue.sources import export, purchases
-from segue.sources.slices import read_requests, read_slices, request_seeds
+from segue.sources import storage
+from segue.sources.slices import (
+    read_checked,
+    read_quarantine,
+    read_requests,
+    read_slices,
+    request_seeds,
+    write_quarantine,
+)
 from segue.sources.storage import register_views, scratch_path, stage
 
 TOP_ITEMS = 500
@@ -39,6 +48,14 @@ SIMILAR_TO = "item:1"
 # The full sizes of the reference; the names are those that the SQL reads.
 ALS_SMALL = {"rank": 64, "maxIter": 10}
 WORD2VEC_SMALL = {"vectorSize": 128, "maxIter": 5}
+SLICE_PIDS = 25  # collections of a slice whose content follows from their ids
+LITERAL_USERS = (1, 2, 5, 7)
+FILES = 4
+BUCKETS = 8
+TOP_PRODUCTS = 10
+RESIDUAL = 1e-3  # of a user's equations, for 32-bit vectors
+WIDE = 1 << 40  # added to pids, beyond MLlib's ids
+NATION_FRACTION = 0.3
 
 
 # --- ingest ------------------------------------------------------------------
@@ -73,6 +90,91 @@ def read_slices_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _whole(uneven: DataFrame) -> DataFrame:
+    return uneven.select(*[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) if c != "status" else c for c in uneven.columns])
+
+
+def slice_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a check of slice files reads and sets aside.
+
+    One file for every ``SLICE_PIDS`` ids; each seventh is cut short, and of the others
+    each fifth lacks its playlists. The rejected ones go through the quarantine.
+    """
+    number = F.floor(F.col("p.pid") / SLICE_PIDS)
+    listed = (
+        purchases.slices(spark, sf_dir)
+        .select(F.explode("playlists").alias("p"))
+        .groupBy(number.alias("slice"))
+        .agg(F.collect_list("p").alias("playlists"))
+    )
+    info = F.struct(F.lit("test").alias("generated_on"), F.col("slice").cast("string").alias("slice"))
+    text = F.to_json(F.struct(info.alias("info"), "playlists"))
+    written = (
+        F.when(F.col("slice") % 7 == 3, F.expr("substring(text, 1, length(text) - 20)"))
+        .when(F.col("slice") % 5 == 4, F.to_json(F.struct(info.alias("info"))))
+        .otherwise(F.col("text"))
+    )
+    path = scratch_path(spark, "mixed-slices")
+    files = listed.withColumn("text", text).select(written.alias("value"))
+    files.write.option("maxRecordsPerFile", 1).text(path)
+    checked = read_checked(spark, path)
+    bad = scratch_path(spark, "quarantine")
+    write_quarantine(checked, bad)
+    flat = checked.good.select(
+        F.lit("read").alias("status"),
+        F.size("playlists").alias("playlists"),
+        F.aggregate("playlists", F.lit(0), lambda n, p: n + F.size(p["tracks"])).alias("tracks"),
+    )
+    set_aside = read_quarantine(spark, bad).select(F.col("reason").alias("status"), F.lit(None).cast("int"), F.lit(None).cast("int"))
+    sums = flat.union(set_aside).groupBy("status").agg(
+        F.count("*").alias("files"), F.sum("playlists").alias("playlists"), F.sum("tracks").alias("tracks")
+    )
+    return _whole(sums)
+
+
+def literal_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many items some users given by hand have."""
+    users = storage.literal_queries(spark, [(u,) for u in LITERAL_USERS], "pid bigint")
+    counts = purchases.interactions(spark, sf_dir).join(F.broadcast(users), "pid")
+    return counts.groupBy("pid").agg(F.count("*").alias("num_tracks"))
+
+
+def file_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The interactions written to a fixed number of files, and read back."""
+    path = scratch_path(spark, "fixed-files")
+    storage.write_table(purchases.interactions(spark, sf_dir), path, files=FILES)
+    named = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("file"))
+    return named.agg(F.count("*").alias("n")).agg(F.count("*").alias("files"), F.sum("n").alias("num_rows"))
+
+
+def table_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per flag, from a table in folders joined with one in buckets.
+
+    Of the headers in folders by flag only those of collaborative collections are
+    read; they and the interactions are bucketed alike, so their join needs no
+    exchange.
+    """
+    folders = scratch_path(spark, "folders")
+    heads = purchases.headers(spark, sf_dir).withColumn("collaborative", flag(F.col("collaborative")))
+    storage.write_table(heads, folders, partition_by=["collaborative"], target_bytes=64 << 20)
+    # The values of folders are read as text.
+    shared = spark.read.parquet(folders).filter("collaborative = 'true'")
+    token = folders.rsplit("-", 1)[1]
+    rows = storage.write_buckets(
+        purchases.interactions(spark, sf_dir), f"rows_{token}", f"{folders}-rows", ["pid"], BUCKETS
+    )
+    owners = storage.write_buckets(
+        shared.select("pid", flag(F.col("collaborative")).alias("collaborative")), f"owners_{token}", f"{folders}-owners", ["pid"], BUCKETS
+    )
+    return (
+        rows.hint("merge").join(owners, "pid")
+        .groupBy("pid", "collaborative")
+        .agg(F.count("*").alias("n"))
+        .groupBy("collaborative")
+        .agg(F.count("*").alias("playlists"), F.sum("n").alias("tracks"))
+    )
+
+
 def validate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts after ingest against the same counts taken from the source tables."""
     nested = stage(_nested(spark, sf_dir), "nested")
@@ -418,7 +520,22 @@ def best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def improvement(spark: SparkSession, sf_dir: str) -> DataFrame:
     gains = evaluate.improvement(evaluate.summarize(_metrics(spark, sf_dir)))
-    return gains.withColumn("gain_pct", F.round("gain_pct", 4))
+    return gains.withColumn("gain_pct", unsigned_zero(F.round("gain_pct", 4)))
+
+
+def eval_first_100(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The summary of the grid for collections of at least 100 items.
+
+    A collection is here all that customers of a nation bought; positions follow the
+    time, so all five scenarios have seeds and holdouts.
+    """
+    rows = stage(purchases.nation_tracks(spark, sf_dir), "nation_tracks")
+    heads = rows.groupBy("pid").agg(F.count("*").alias("num_tracks")).withColumn("name", F.lit("nation"))
+    tables = split_tables(heads, rows, 100, NATION_FRACTION)
+    factors = purchases.item_factors(spark, sf_dir)
+    recs, holdout = scenario_lists(tables, factors, factors, N, SCENARIOS)
+    summary = evaluate.evaluate(recs, holdout, scoring.MODELS, N)
+    return summary.withColumns({name: F.round(name, 6) for name in ["r_precision", "ndcg", "clicks"]})
 
 
 # --- requests ----------------------------------------------------------------
@@ -525,6 +642,57 @@ def als_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def als_wide_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ratings of collections whose pids do not fit MLlib's ids."""
+    train = stage(_train(spark, sf_dir).withColumn("pid", F.col("pid") + F.lit(WIDE)), "train")
+    id_map = stage(models.track_id_map(train), "track_id_map")
+    users = stage(models.user_id_map(train), "user_id_map")
+    ratings = models.als_input(train, id_map, users=users).groupBy("user_id").agg(F.count("*").alias("ratings"))
+    named = ratings.join(users, "user_id")
+    return named.select("pid", F.col("user_id").cast("bigint").alias("user_id"), "ratings")
+
+
+def als_residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which users' vectors solve their equations, of all users with ratings."""
+    train = stage(_train(spark, sf_dir), "train")
+    id_map = stage(models.track_id_map(train), "track_id_map")
+    ratings = stage(models.als_input(train, id_map), "ratings")
+    model = models.fit_als(ratings, **ALS_SMALL)
+    params = models.ALS_PARAMS
+    gaps = models.als_residuals(model, ratings, params["regParam"], params["alpha"])
+    return gaps.select(
+        F.col("user_id").cast("bigint").alias("pid"), "ratings", (F.col("residual") < RESIDUAL).alias("solved")
+    )
+
+
+def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The item vectors of a stored and reloaded model against the fitted ones."""
+    _, id_map, model = _als(spark, sf_dir)
+    path = scratch_path(spark, "als-model")
+    storage.save_model(model, path)
+    again = models.als_item_vectors(storage.load_als(path), id_map).withColumnRenamed("features", "stored")
+    fitted = models.als_item_vectors(model, id_map)
+    return fitted.join(again, "track_uri", "full").select(
+        "track_uri",
+        F.size("stored").cast("bigint").alias("dim"),
+        F.col("features").eqNullSafe(F.col("stored")).alias("same"),
+    )
+
+
+def top_items_by_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten items for every collection, by the mean vector of its items."""
+    factors = purchases.item_factors(spark, sf_dir)
+    rows = purchases.interactions(spark, sf_dir)
+    people = scoring.profile_vectors(rows, factors, ["pid"]).select(
+        F.col("pid").alias("user_id"), F.col("profile").alias("features")
+    )
+    ids = stage(models.track_id_map(factors), "factor-ids")
+    items = factors.join(ids, "track_uri").select(F.col("track_id").alias("item_id"), "features")
+    best = top_by_product(people, items, TOP_PRODUCTS)
+    named = best.join(ids.withColumnRenamed("track_id", "item_id"), "item_id")
+    return named.select(F.col("user_id").alias("pid"), "rank", "track_uri", F.round("score", 6).alias("score"))
+
+
 def als_item_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which items got an ALS vector, and how long it is."""
     _, id_map, model = _als(spark, sf_dir)
@@ -582,6 +750,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         interactions_flat,
         tracks_dedup,
         read_slices_roundtrip,
+        slice_quarantine,
+        literal_queries,
+        file_count,
+        table_layout,
         validate_counts,
         length_stats,
         length_histogram,
@@ -623,6 +795,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         eval_summary,
         best_model,
         improvement,
+        eval_first_100,
         metrics_roundtrip,
         request_scenarios,
         requests_hybrid,
@@ -630,6 +803,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         export_roundtrip,
         verify_lists,
         als_ratings,
+        als_wide_ids,
+        als_residuals,
+        model_roundtrip,
+        top_items_by_product,
         als_item_dims,
         als_user_vectors,
         fit_als,

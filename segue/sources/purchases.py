@@ -59,6 +59,29 @@ def playlist_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nation_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(pid, track_uri, pos) with one collection per nation, numbered in time order."""
+    order = [
+        "o_orderdate",
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        "l_suppkey",
+        "l_extendedprice",
+    ]
+    nations = _table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("pid"), F.col("c_nationkey").cast("bigint").alias("nation")
+    )
+    rows = (
+        _purchases(spark, sf_dir)
+        .join(nations, "pid")
+        .select(F.col("nation").alias("pid"), F.to_date("o_orderdate").alias("day"), *order)
+    )
+    return group_positions(rows, ["pid"], "day", order, "pos").select(
+        "pid", _uri("l_partkey").alias("track_uri"), "pos"
+    )
+
+
 def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per item with its attributes."""
     return _table(spark, sf_dir, "part").select(

@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.ml.feature import Word2VecModel
 from pyspark.ml.recommendation import ALSModel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+_PARTITION_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+MANIFEST_VERSION = 1
+_MANIFEST = "version int, kind string, params string, `table` string, columns string, rows bigint"
 
 
 def read_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
@@ -31,17 +39,71 @@ def write_table(
     path: str,
     files: int | None = None,
     max_records_per_file: int | None = None,
+    partition_by: Sequence[str] = (),
+    target_bytes: int | None = None,
 ) -> None:
     """Overwrite a Parquet table.
 
     ``files`` asks for an exact number of files. It shuffles: narrowing the
     plan instead would run the whole upstream stage in that many tasks.
     ``max_records_per_file`` bounds file sizes without any shuffle.
+
+    ``partition_by`` makes a folder per value, which later filters prune.
+    ``target_bytes`` asks for files of about that size (before compression),
+    in every folder: the rows are shuffled by the folder, and partitions are then
+    split and joined by their measured sizes, so a hot folder is no single task.
     """
-    writer = (df if files is None else df.repartition(files)).write.mode("overwrite")
+    spark = df.sparkSession
+    if files is not None:
+        df = df.repartition(files)
+    elif target_bytes is not None:
+        df = df.hint("rebalance", *partition_by)
+    writer = df.write.mode("overwrite")
     if max_records_per_file is not None:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
-    writer.parquet(path)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    held = spark.conf.get(_PARTITION_BYTES, None)
+    try:
+        if target_bytes is not None:
+            spark.conf.set(_PARTITION_BYTES, str(target_bytes))
+        writer.parquet(path)
+    finally:
+        if target_bytes is not None:
+            _restore(spark, _PARTITION_BYTES, held)
+
+
+def _restore(spark: SparkSession, key: str, value: str | None) -> None:
+    if value is None:
+        spark.conf.unset(key)
+    else:
+        spark.conf.set(key, value)
+
+
+def write_buckets(df: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Overwrite the table ``name`` at ``path``, bucketed and sorted by ``keys``.
+
+    Rows are dealt to the buckets once, before they are written, so every bucket is
+    one file. Tables with the same number of buckets join and group by the
+    keys without a further exchange.
+    """
+    dealt = df.repartition(buckets, *keys)
+    writer = dealt.write.mode("overwrite").option("path", path)
+    writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name, format="parquet")
+    return df.sparkSession.table(name)
+
+
+def register_buckets(
+    spark: SparkSession, name: str, path: str, schema: StructType, keys: Sequence[str], buckets: int
+) -> DataFrame:
+    """The bucketed table at ``path`` for a session that has not written it itself."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    by = ", ".join(f"`{k}`" for k in keys)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+        f"CLUSTERED BY ({by}) SORTED BY ({by}) INTO {buckets} BUCKETS LOCATION '{path}'"
+    )
+    return spark.table(name)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -80,13 +142,67 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def _tables_of(model) -> dict[str, DataFrame]:
+    """The tables a fitted model consists of."""
+    if isinstance(model, ALSModel):
+        return {"userFactors": model.userFactors, "itemFactors": model.itemFactors}
+    if isinstance(model, Word2VecModel):
+        return {"vectors": model.getVectors()}
+    raise TypeError(f"no manifest for models of {type(model)}")
+
+
+def manifest_of(model) -> DataFrame:
+    """(version, kind, params, table, columns, rows): what a stored model must hold."""
+    params = {p.name: v for p, v in model.extractParamMap().items()}
+    lines = [
+        (
+            MANIFEST_VERSION,
+            type(model).__name__,
+            json.dumps(params, sort_keys=True, default=str),
+            name,
+            table.schema.simpleString(),
+            table.count(),
+        )
+        for name, table in sorted(_tables_of(model).items())
+    ]
+    spark = SparkSession.active()
+    return spark.createDataFrame(lines, _MANIFEST)
+
+
 def save_model(model, path: str) -> None:
+    """Store a model by MLlib's writer, and then its manifest beside it.
+
+    The manifest comes last, so a model whose saving was cut short has none and
+    does not load.
+    """
     model.write().overwrite().save(path)
+    manifest_of(model).coalesce(1).write.mode("overwrite").json(f"{path}/manifest")
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(_MANIFEST).json(f"{path}/manifest")
+
+
+def _load(kind, path: str):
+    spark = SparkSession.active()
+    try:
+        stored = sorted(map(tuple, read_manifest(spark, path).collect()))
+    except AnalysisException as error:
+        raise ValueError(f"{path} has no manifest: its saving was not finished") from error
+    if {line[0] for line in stored} != {MANIFEST_VERSION}:
+        raise ValueError(f"manifest of {path} is not of version {MANIFEST_VERSION}")
+    model = kind.load(path)
+    found = sorted(map(tuple, manifest_of(model).collect()))
+    if found != stored:
+        raise ValueError(f"{path} holds {found}, its manifest says {stored}")
+    return model
 
 
 def load_als(path: str) -> ALSModel:
-    return ALSModel.load(path)
+    """The model at ``path``, once its schema, parameters and row counts are checked."""
+    return _load(ALSModel, path)
 
 
 def load_word2vec(path: str) -> Word2VecModel:
-    return Word2VecModel.load(path)
+    """The model at ``path``, once its schema, parameters and row counts are checked."""
+    return _load(Word2VecModel, path)

@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from segue.plans import oracle, queries
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["customer", "orders", "lineitem", "part", "embeddings"]
@@ -23,10 +24,11 @@ def normalized(frame):
     return sorted(map(tuple, frame.values.tolist()), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+# Queries of optional parts are tested with those.
+@pytest.mark.parametrize("name", sorted(oracle.oracle_sql()))
 def test_query_equals_sql(spark, con, name):
-    got = entry.queries()[name](spark, SF).toPandas()
-    want = con.execute(entry.oracle_sql()[name]).df()
+    got = queries.queries()[name](spark, SF).toPandas()
+    want = con.execute(oracle.oracle_sql()[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert normalized(got) == normalized(want)
 
