@@ -107,7 +107,7 @@ def test_pruned_pairs_are_whole(spark, rows, least):
     for pid in range(40):
         for _ in range(draw.randint(1, 12)):
             item = draw.randrange(8) if draw.random() < 0.4 else 10 + pid * 20 + draw.randrange(20)
-            data += [(pid, f"i{item}")] * draw.choice([1] * 30 + [2, 3])
+            data += [(pid, f"i{item}")] * draw.choice([1] * 90 + [2, 3])
     frame = spark.createDataFrame(data, "pid long, track_uri string")
     assert rows(pairs.pair_counts(frame, least)) == plain_counts(data, least)
     assert rows(pairs.pair_counts(frame, least, chunk=3)) == plain_counts(data, least)
