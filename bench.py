@@ -108,7 +108,7 @@ def main():
 
     def word2vec():
         model = models.fit_word2vec(
-            split.sequences(tables.train, min_count=models.WORD2VEC_PARAMS["minCount"])
+            models.word2vec_input(tables.train)
         )
         finish(models.word_vectors(model))
 

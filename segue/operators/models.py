@@ -11,6 +11,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from segue.functions.vectors import is_nonzero, l2_norm
@@ -18,7 +19,7 @@ from segue.operators.blocks import top_by_product
 from segue.operators.joins import lookup_join, spread_join
 from segue.operators.ranking import dense_index
 from segue.operators.scoring import VECTOR_ROWS, recommend
-from segue.operators.split import SEQUENCE_LENGTH
+from segue.operators.split import SEQUENCE_LENGTH, sequences
 from segue.sources.storage import stage
 
 # The hyperparameters of the two models.
@@ -152,15 +153,65 @@ def als_recommend_unseen(
     return recommend(items, rows, seen, ["user_id"], n)
 
 
-def fit_word2vec(track_sequences: DataFrame, **overrides) -> Word2VecModel:
-    """Item vectors from ordered sequences.
+def word2vec_input(train: DataFrame, min_count: int = WORD2VEC_PARAMS["minCount"]) -> DataFrame:
+    """Sequences of (pid, track_uri, pos) from which training gets the same vectors as
+    from whole playlists: rare items are gone, and parts end where MLlib would cut."""
+    return sequences(train, min_count=min_count, part_length=SEQUENCE_LENGTH)
 
-    Sequences in parts must come without the items below ``minCount``
-    (``sequences`` drops them), otherwise MLlib would cut elsewhere.
-    MLlib keeps the vocabulary times the vector size on the driver: raise
-    ``minCount`` when the number of items makes that too large.
+
+def count_histogram(track_sequences: DataFrame) -> DataFrame:
+    """(n, items): how many items appear n times in all sequences."""
+    counts = track_sequences.select(F.explode("track_sequence").alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+    return counts.groupBy("n").agg(F.count("*").alias("items"))
+
+
+def smallest_min_count(histogram: DataFrame, most: int, least: int = 1) -> DataFrame:
+    """(min_count, vocabulary): the smallest ``min_count`` that leaves at most ``most`` items.
+
+    ``histogram`` (n, items) has at most sqrt(2 rows) rows, as n different counts sum
+    to more than n^2 / 2, so one window task holds it. ``min_count`` is at least
+    ``least``, and ``vocabulary`` the number of items that are left.
+    """
+    rising = W.orderBy(F.desc("n")).rowsBetween(W.unboundedPreceding, 0)
+    reached = histogram.withColumn("from_n", F.sum("items").over(rising))
+    too_many = F.max(F.when(F.col("from_n") > most, F.col("n")))
+    chosen = reached.agg(F.greatest(F.lit(least), F.coalesce(too_many, F.lit(0)) + 1).cast("bigint").alias("min_count"))
+    kept = histogram.join(F.broadcast(chosen), F.col("n") >= F.col("min_count"))
+    left = kept.agg(F.coalesce(F.sum("items"), F.lit(0)).cast("bigint").alias("vocabulary"))
+    return chosen.select("min_count", left.scalar().alias("vocabulary"))
+
+
+def word2vec_bytes(vocabulary: int, vector_size: int) -> int:
+    """Driver memory of MLlib's training: both layers, and about 200 bytes a word."""
+    return vocabulary * (2 * 4 * vector_size + 200)
+
+
+def fit_word2vec(
+    track_sequences: DataFrame, max_driver_bytes: int | None = None, **overrides
+) -> Word2VecModel:
+    """Item vectors from ordered sequences (``word2vec_input``).
+
+    Sequences in parts must come without the items below ``minCount``, otherwise
+    MLlib would cut elsewhere. MLlib keeps the vocabulary times the vector size on
+    the driver. That is estimated first, and training is refused above
+    ``max_driver_bytes`` (half of the driver's heap), with the ``minCount`` that would
+    fit.
     """
     params = {**WORD2VEC_PARAMS, **overrides}
+    spark = track_sequences.sparkSession
+    if max_driver_bytes is None:
+        max_driver_bytes = spark.sparkContext._jvm.java.lang.Runtime.getRuntime().maxMemory() // 2
+    size, least = params["vectorSize"], params["minCount"]
+    # MLlib indexes all numbers of a layer by 32 bits.
+    most = min(max_driver_bytes // word2vec_bytes(1, size), ((1 << 31) - 1) // size)
+    histogram = stage(count_histogram(track_sequences), "word-counts")
+    held = histogram.filter(F.col("n") >= least).agg(F.coalesce(F.sum("items"), F.lit(0))).first()[0]
+    if held > most:
+        fitting = smallest_min_count(histogram, most, least).first()
+        raise ValueError(
+            f"{held} items of {size} numbers take {word2vec_bytes(held, size)} bytes on the driver, "
+            f"the limit is {max_driver_bytes}; minCount={fitting.min_count} leaves {fitting.vocabulary} items"
+        )
     word2vec = Word2Vec(
         inputCol="track_sequence", outputCol="track_embedding", **params
     )

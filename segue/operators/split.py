@@ -19,7 +19,7 @@ SCENARIOS = {
     "first_100": 100,
 }
 
-# Longest sequence in one row; the models cut their sentences at the same length.
+# Positions of a part in training input; the models cut their sentences at this length.
 SEQUENCE_LENGTH = 1_000
 
 
@@ -75,13 +75,14 @@ def split_counts(playlist_tracks: DataFrame, reserved: DataFrame) -> DataFrame:
 def sequences(
     playlist_tracks: DataFrame,
     min_length: int = 5,
-    part_length: int = SEQUENCE_LENGTH,
     min_count: int = 1,
+    part_length: int | None = None,
 ) -> DataFrame:
     """(pid, part, num_tracks, track_sequence): items in order of position.
 
-    A playlist of up to ``part_length`` positions gives one row. A longer one
-    gives consecutive parts, so no task ever holds an unbounded list. Items with
+    A playlist is one row. With ``part_length``, one of more positions gives
+    consecutive parts, so no task ever holds an unbounded list; training needs
+    no more than the length at which it cuts its sentences. Items with
     fewer than ``min_count`` appearances in these playlists are dropped before
     the cut, as MLlib does; ``num_tracks`` still counts them.
     """
@@ -94,10 +95,11 @@ def sequences(
     )
     counts = lengths.select("pid", F.col("num_tracks").alias("n"))
     if min_count > 1:
-        playlist_tracks = _common_items(playlist_tracks, lengths, part_length, min_count)
-    parts = playlist_tracks.groupBy(
-        "pid", F.floor(F.col("pos") / part_length).alias("part")
-    ).agg(
+        playlist_tracks = _common_items(
+            playlist_tracks, lengths, part_length or SEQUENCE_LENGTH, min_count
+        )
+    part = F.lit(0).cast("bigint") if part_length is None else F.floor(F.col("pos") / part_length)
+    parts = playlist_tracks.groupBy("pid", part.alias("part")).agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct("pos", "track_uri"))),
             lambda entry: entry["track_uri"],

@@ -21,6 +21,7 @@ from segue.plans.queries import (
     SLICE_PIDS,
     TOP_ITEMS,
     TOP_PRODUCTS,
+    VOCABULARIES,
     WIDE,
     WORD2VEC_SMALL,
 )
@@ -673,4 +674,18 @@ def oracle_sql() -> dict[str, str]:
         FROM (SELECT *, count(*) OVER (PARTITION BY pid) AS whole FROM train)
         WHERE whole >= 5 GROUP BY track_uri HAVING count(*) >= 5""",
     )
+    sql["word_min_count"] = _with(
+        ["train"],
+        f"""
+        , words AS (
+            SELECT track_uri, count(*) AS n
+            FROM (SELECT *, count(*) OVER (PARTITION BY pid) AS whole FROM train)
+            WHERE whole >= 5 GROUP BY track_uri),
+        tried AS (SELECT 5 AS c UNION SELECT n + 1 FROM words WHERE n >= 5),
+        left_over AS (SELECT c, (SELECT count(*) FROM words WHERE n >= c) AS vocabulary FROM tried)
+        SELECT most, c AS min_count, vocabulary
+        FROM left_over, (SELECT unnest([{", ".join(map(str, VOCABULARIES))}]::BIGINT[]) AS most)
+        WHERE vocabulary <= most
+        QUALIFY row_number() OVER (PARTITION BY most ORDER BY c) = 1""",
+    )
     return sql

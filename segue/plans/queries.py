@@ -7,6 +7,7 @@ suit smaller data than the reference's are stated once, here.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,6 +57,7 @@ TOP_PRODUCTS = 10
 RESIDUAL = 1e-3  # of a user's equations, for 32-bit vectors
 WIDE = 1 << 40  # added to pids, beyond MLlib's ids
 NATION_FRACTION = 0.3
+VOCABULARIES = (50, 1_000, 1_000_000)  # words at most
 
 
 # --- ingest ------------------------------------------------------------------
@@ -355,7 +357,9 @@ def dense_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = splits.sequences(purchases.playlist_tracks(spark, sf_dir))
+    rows = splits.sequences(
+        purchases.playlist_tracks(spark, sf_dir), part_length=splits.SEQUENCE_LENGTH
+    )
     return rows.select(
         "pid",
         "part",
@@ -738,12 +742,25 @@ def word_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fit_word2vec(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = purchases.playlist_tracks(spark, sf_dir)
     train = splits.train_split(rows, _reserved(spark, sf_dir))
-    common = splits.sequences(train, min_count=models.WORD2VEC_PARAMS["minCount"])
-    track_sequences = stage(common, "sequences")
+    track_sequences = stage(models.word2vec_input(train), "sequences")
     model = models.fit_word2vec(track_sequences, **WORD2VEC_SMALL)
     return models.word_vectors(model)
 
 
+def word_min_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ``minCount`` that leaves a vocabulary of some sizes at most."""
+    rows = purchases.playlist_tracks(spark, sf_dir)
+    train = splits.train_split(rows, _reserved(spark, sf_dir))
+    whole = stage(splits.sequences(train), "sequences")
+    histogram = stage(models.count_histogram(whole), "word-counts")
+    least = models.WORD2VEC_PARAMS["minCount"]
+    found = [
+        models.smallest_min_count(histogram, most, least).select(F.lit(most).cast("bigint").alias("most"), "*")
+        for most in VOCABULARIES
+    ]
+    return reduce(DataFrame.union, found)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = [
         playlists_flat,
@@ -813,6 +830,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         als_recommend,
         als_recommend_unseen,
         word_vocabulary,
+        word_min_count,
         fit_word2vec,
     ]
     # Two queries share their names with the operators they run.

@@ -80,6 +80,30 @@ def test_word2vec_drops_rare_items_and_keeps_shape(train):
     assert {r.track_uri for r in got} == kept and {len(r.features) for r in got} == {6}
 
 
+def test_long_playlists_train_as_whole_ones(spark):
+    """1,500 positions with rare items: the parts are what MLlib makes of the whole."""
+    data = [(1, f"t{(i * i) % 37}" if i % 5 else f"rare{i}", i) for i in range(1500)]
+    train = storage.stage(spark.createDataFrame(data, "pid long, track_uri string, pos long"), "long")
+    whole = [r.track_sequence for r in split.sequences(train).collect()]
+    assert [len(w) for w in whole] == [1500]
+    common = [w for w in whole[0] if not w.startswith("rare")]
+    parts = models.word2vec_input(train, 2)
+    assert [r.track_sequence for r in parts.orderBy("part").collect()] == [common[:1000], common[1000:]]
+    vectors = models.word_vectors(models.fit_word2vec(parts, vectorSize=4, maxIter=1, numPartitions=1, minCount=2))
+    assert {r.track_uri for r in vectors.collect()} == set(common)
+
+
+def test_a_vocabulary_beyond_the_driver_is_refused(spark):
+    words = [f"w{i}" for i in range(20) for _ in range(i + 1)]
+    rows = spark.createDataFrame([(words,)], "track_sequence array<string>")
+    limit = models.word2vec_bytes(7, 10)
+    with pytest.raises(ValueError, match="minCount=14 leaves 7 items"):
+        models.fit_word2vec(rows, limit, vectorSize=10, minCount=2)
+    histogram = models.count_histogram(rows)
+    assert tuple(models.smallest_min_count(histogram, 20).first()) == (1, 20)
+    assert tuple(models.smallest_min_count(histogram, 0, 3).first()) == (21, 0)
+
+
 def test_models_survive_saving(spark, train, fitted):
     folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     _, model, _ = fitted
