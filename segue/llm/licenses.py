@@ -8,6 +8,7 @@ from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from segue.operators.joins import fits_broadcast, lookup_join, spread_join
@@ -27,7 +28,8 @@ NOTICES = (
     ("MPL-2.0", "This file is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
 
-# Whole notices of several lines: usual file headers, and licences that fit a short file.
+# Whole notices of several lines: usual file headers, and short licences.
+# fixed values
 TEXTS = (
     (
         "Apache-2.0",
@@ -108,9 +110,11 @@ TEXTS = (
     ),
 )
 
+PASSAGES = r"\n\s*\n"  # what separates them
 MIN_COSINE = 0.8
 FILE_SHARE = 0.1
-SHORT_CHARS = 4_000  # files up to this size are compared as a whole, too
+STRETCH = 2  # a stretch of passages has up to so many times the words of the longest text
+VOCABULARY_ROWS = 200_000  # words with their weights that are broadcast; more are joined
 
 
 def _words(text: Column) -> Column:
@@ -121,6 +125,32 @@ def _notice_words(text: str) -> list[str]:
     return re.findall(r"[^\W_]+", text.lower())
 
 
+def _stretches(files: DataFrame, file: list[str], most_words: int) -> DataFrame:
+    """(file, part, pos, line): all runs of two or more passages of bounded length.
+
+    ``part`` is the first passage and ``-pos`` the number of passages; those without
+    words are left out. The passages that follow within ``most_words`` words are
+    a range of the running count of words, so no row holds more than that.
+    """
+    passages = files.select(*file, F.posexplode(F.split("text", PASSAGES, -1)).alias("part", "passage"))
+    counted = passages.withColumn("n", F.size(_words(F.col("passage")))).filter("n > 0")
+    ordered = W.partitionBy(*file).orderBy("part")
+    before = F.coalesce(F.sum("n").over(ordered.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    placed = counted.withColumn("start", before.cast("bigint"))
+    near = W.partitionBy(*file).orderBy("start").rangeBetween(0, most_words)
+    ahead = placed.withColumn(
+        "ahead", F.collect_list(F.struct("passage", (F.col("start") + F.col("n")).alias("end"))).over(near)
+    )
+    fitting = F.filter("ahead", lambda p: p["end"] - F.col("start") <= most_words)
+    runs = ahead.withColumn("ahead", fitting).filter(F.size("ahead") > 1)
+    return runs.select(*file, "part", "ahead", F.explode(F.sequence(F.lit(2), F.size("ahead"))).alias("k")).select(
+        *file,
+        "part",
+        (-F.col("k")).alias("pos"),
+        F.array_join(F.transform(F.slice("ahead", F.lit(1), F.col("k")), lambda p: p["passage"]), "\n\n").alias("line"),
+    )
+
+
 def license_scan(
     files: DataFrame,
     notices: Sequence[tuple[str, str]] = NOTICES,
@@ -134,28 +164,33 @@ def license_scan(
     """(id, own_license, cosine, inherited_license, inherited_from, license).
 
     Every line of the whole text is a possible notice, and so are the joined
-    lines of a paragraph (up to an empty line) and the whole of a file of up to
-    ``SHORT_CHARS`` characters; all are compared with ``notices`` and ``texts``.
-    They are vectors of words, times by ln((1 + N) / (1 + df)) + 1, with df over
-    all files. The licence is that of the template with the largest cosine (6
-    decimals, of equal ones the first name) if it reaches ``min_cosine``. The
-    best one gives the file its own licence.
+    lines of a paragraph (up to an empty line); both are compared with ``notices``
+    and ``texts``. Stretches of consecutive paragraphs, wherever they lie in a file of
+    any size, are compared with ``texts``, as long as they have at most ``STRETCH``
+    times the words of the longest one. All are vectors of words, times by
+    ln((1 + N) / (1 + df)) + 1, with df over all files. The licence is that of the
+    template with the largest cosine (6 decimals, of equal ones the first name) if it
+    reaches ``min_cosine``. The best one gives the file its own licence.
 
-    A file whose notices hold at least ``file_share`` of its characters is a
-    licence file of its folder; a folder's licence is the one most of those have
+    A file is a licence file of its folder if its notices hold at least ``file_share``
+    of its characters: all matching lines, all matching paragraphs, or the
+    longest matching stretch. A folder's licence is the one most of those have
     (of equal ones the first name). A file without a licence of its own inherits
     from the nearest folder that has one, its own or one above it; folders are
     paths with ``/``.
 
     What has none of the rarest words of a template cannot reach the limit, so
-    only lines, paragraphs and files with such a word are looked at. Words are
+    only lines, paragraphs and stretches with such a word are looked at. Words are
     counted before they are shuffled, inheritance is worked out once per folder,
-    and folders with many files are spread when it is joined back.
+    and folders with many files are spread when it is joined back. A very long
+    text costs its size, and a stretch for each paragraph around rare words.
 
     A NULL or empty text has no licence of its own; a NULL folder inherits
-    nothing. Repeated rows are judged alike. An empty table gives no rows.
+    nothing. Repeated rows are judged alike. Other columns play no part. An empty
+    table gives no rows.
     """
     templates = [*notices, *texts]
+    most_words = STRETCH * max((len(_notice_words(t)) for _, t in texts), default=0)
     vocabulary = sorted({w for _, text in templates for w in _notice_words(text)})
     known = F.array(*[F.lit(w) for w in vocabulary])
     total = files.count()
@@ -167,8 +202,8 @@ def license_scan(
     )
     df = {r["w"]: r["count"] for r in counted}
     idf = {w: math.log((1 + total) / (1 + df.get(w, 0))) + 1 for w in vocabulary}
-    vectors, rare = [], set()
-    for name, text in templates:
+    vectors, rare, rare_in_texts = [], set(), set()
+    for number, (name, text) in enumerate(templates):
         weights = {w: n * idf[w] for w, n in Counter(_notice_words(text)).items()}
         norm = math.sqrt(sum(x * x for x in weights.values()))
         vectors.append((name, {w: x / norm for w, x in weights.items()}))
@@ -178,6 +213,8 @@ def license_scan(
             if rest < min_cosine**2 - 1e-6:
                 break
             rare.add(w)
+            if number >= len(notices):
+                rare_in_texts.add(w)
             rest -= x * x
     versioned = files.select(
         F.col(id_col).cast("bigint").alias("id"),
@@ -185,18 +222,13 @@ def license_scan(
         F.col(folder_col).alias("folder"),
         F.col(text_col).alias("text"),
     )
-    may_match = rf"(?<![\p{{L}}\p{{N}}])({'|'.join(sorted(rare))})(?![\p{{L}}\p{{N}}])"
-    parts = (
-        versioned.withColumn("chars", F.char_length("text"))
-        .filter(F.lower("text").rlike(may_match))
-        .select(
-            "id", "version", "folder", "chars",
-            F.when(F.col("chars") <= SHORT_CHARS, F.col("text")).alias("short"),
-            F.posexplode(F.split("text", r"\n\s*\n", -1)).alias("part", "passage"),
-        )
-        .filter(F.lower("passage").rlike(may_match))
-    )
-    # Unit -1 is the passage, -2 the file, others are lines; the same ones are met once.
+    any_of = lambda words: rf"(?<![\p{{L}}\p{{N}}])({'|'.join(sorted(words))})(?![\p{{L}}\p{{N}}])"
+    may_match, may_match_texts = any_of(rare), any_of(rare_in_texts)
+    file = ["id", "version", "folder", "chars"]
+    matching = versioned.withColumn("chars", F.char_length("text")).filter(F.lower("text").rlike(may_match))
+    passages = matching.select(*file, F.posexplode(F.split("text", PASSAGES, -1)).alias("part", "passage"))
+    parts = passages.filter(F.lower("passage").rlike(may_match))
+    # Unit -1 is the passage, others are lines; the same ones are met once.
     lines = F.split("passage", "\n", -1)
     units = F.concat(
         F.transform(lines, lambda x, i: F.struct(i.alias("pos"), x.alias("words"))),
@@ -205,16 +237,15 @@ def license_scan(
         ),
     )
     looked_at = (
-        parts.select("id", "version", "folder", "chars", "part", F.explode(units).alias("unit"))
-        .select("id", "version", "folder", "chars", "part", "unit.pos", F.col("unit.words").alias("line"))
+        parts.select(*file, "part", F.explode(units).alias("unit"))
+        .select(*file, "part", "unit.pos", F.col("unit.words").alias("line"))
         .filter(F.lower("line").rlike(may_match))
-        .union(
-            parts.filter(F.col("short").isNotNull() & F.col("short").contains("\n")).select(
-                "id", "version", "folder", "chars", F.lit(-1).alias("part"), F.lit(-2).alias("pos"), F.col("short").alias("line")
-            )
-        )
         .distinct()
-    )
+    )
+    if rare_in_texts:
+        long = matching.filter(F.lower("text").rlike(may_match_texts)).dropDuplicates(file)
+        stretches = _stretches(long, file, most_words)
+        looked_at = looked_at.union(stretches.filter(F.lower("line").rlike(may_match_texts)))
     line = ["id", "version", "folder", "chars", "part", "pos"]
     counts = stage(
         looked_at.select(*line, F.char_length("line").alias("size"), _words(F.col("line")).alias("words"))
@@ -225,7 +256,7 @@ def license_scan(
     )
     asked = stage(counts.select("w").distinct(), "license-vocabulary")
     every = files.select(F.explode(F.array_distinct(_words(F.col(text_col)))).alias("w"))
-    if fits_broadcast(asked):
+    if fits_broadcast(asked, VOCABULARY_ROWS):
         found = every.join(F.broadcast(asked), "w", "left_semi").groupBy("w").agg(F.count("*").alias("df"))
     else:
         found = every.groupBy("w").agg(F.count("*").alias("df")).join(asked, "w", "left_semi")
@@ -239,7 +270,7 @@ def license_scan(
         ),
         "license-weights",
     )
-    weighed = lookup_join(counts, weights, "w").withColumn("x", F.col("n") * F.col("idf"))
+    weighed = lookup_join(counts, weights, "w", limit=VOCABULARY_ROWS).withColumn("x", F.col("n") * F.col("idf"))
     norms = weighed.groupBy(*line, "size").agg(
         F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"),
         *[
@@ -250,26 +281,31 @@ def license_scan(
     best = F.array_min(
         F.array(
             *[
-                F.struct((-F.round(F.col(f"c{i}") / F.col("norm"), 6)).alias("minus"), F.lit(name).alias("name"))
+                F.struct(
+                    # Stretches are compared with texts alone.
+                    F.when(
+                        F.lit(i >= len(notices)) | (F.col("pos") >= -1),
+                        -F.round(F.col(f"c{i}") / F.col("norm"), 6),
+                    ).otherwise(0.0).alias("minus"),
+                    F.lit(name).alias("name"),
+                )
                 for i, (name, _) in enumerate(vectors)
             ]
         )
-    )
+    )
     size = lambda pos: F.coalesce(F.sum(F.when(pos, F.col("size"))), F.lit(0))
-    # Lines of a matching passage, and passages of a matching file, count once.
+    # Lines of a matching passage count once.
     own = stage(
         norms.select(*line, "size", best.alias("best"))
         .filter(F.col("best.minus") <= -min_cosine)
-        .groupBy("id", "version", "folder", "chars", "part")
+        .groupBy(*file, "part")
         .agg(
             F.min("best").alias("best"),
-            F.greatest(size(F.col("pos") >= 0), size(F.col("pos") < 0)).alias("size"),
+            F.greatest(size(F.col("pos") >= 0), size(F.col("pos") == -1)).alias("size"),
+            F.max(F.when(F.col("pos") < -1, F.col("size"))).alias("longest"),
         )
-        .groupBy("id", "version", "folder", "chars")
-        .agg(
-            F.min("best").alias("best"),
-            F.greatest(size(F.col("part") >= 0), size(F.col("part") < 0)).alias("size"),
-        ),
+        .groupBy(*file)
+        .agg(F.min("best").alias("best"), F.greatest(F.sum("size"), F.max("longest")).alias("size")),
         "own-licenses",
     )
     folders = (

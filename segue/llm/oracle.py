@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from segue.llm.licenses import NOTICES
+import re
+
+from segue.llm.licenses import NOTICES, STRETCH, TEXTS
 
 _LINE_DEDUP = r"""
 WITH lines AS (
@@ -155,50 +157,78 @@ FROM doc_words d LEFT JOIN per_doc p USING (doc_id) LEFT JOIN per_items i USING
 """
 
 _LICENSES = r"""
-WITH notices(name, notice) AS (VALUES
-__NOTICES__
+WITH templates(id, whole, name, body) AS (VALUES
+__TEMPLATES__
 ), files AS (
-    SELECT doc_id, text,
+    SELECT doc_id, text, length(text) AS chars,
            concat_ws('/', source, lang,
                CASE WHEN n_chars >= 1000 THEN CAST(doc_id // 1000 AS VARCHAR) END) AS folder
     FROM documents
 ), total AS (
     SELECT count(*) AS n FROM files
-), notice_words AS (
-    SELECT name, w, count(*) AS n
-    FROM notices, unnest(regexp_extract_all(lower(notice), '[\p{L}\p{N}]+')) AS t(w) GROUP BY name, w
+), template_words AS (
+    SELECT id, whole, name, w, count(*) AS n
+    FROM templates, unnest(regexp_extract_all(lower(body), '[\p{L}\p{N}]+')) AS t(w) GROUP BY ALL
 ), df AS (
-    SELECT w, count(DISTINCT doc_id) AS df
-    FROM files, unnest(list_distinct(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+'))) AS t(w)
-    WHERE w IN (SELECT w FROM notice_words) GROUP BY w
+    SELECT w, count(*) AS df
+    FROM files, unnest(list_distinct(regexp_extract_all(lower(text), '[\p{L}\p{N}]+'))) AS t(w) GROUP BY w
 ), idf AS (
     SELECT w, ln((1 + total.n) / CAST(1 + coalesce(df.df, 0) AS DOUBLE)) + 1 AS idf
-    FROM (SELECT DISTINCT w FROM notice_words) LEFT JOIN df USING (w), total
+    FROM (SELECT w FROM template_words UNION SELECT w FROM df) LEFT JOIN df USING (w), total
 ), vectors AS (
-    SELECT name, w, n * idf / sqrt(sum(n * n * idf * idf) OVER (PARTITION BY name)) AS x
-    FROM notice_words JOIN idf USING (w)
+    SELECT id, whole, name, w, n * idf / sqrt(sum(n * n * idf * idf) OVER (PARTITION BY id)) AS x
+    FROM template_words JOIN idf USING (w)
+), passages AS (
+    SELECT doc_id, part, passage, len(regexp_extract_all(lower(passage), '[\p{L}\p{N}]+')) AS n
+    FROM (SELECT doc_id, unnest(string_split_regex(text, '\n\s*\n')) AS passage,
+                 generate_subscripts(string_split_regex(text, '\n\s*\n'), 1) AS part FROM files)
+), placed AS (
+    SELECT *, coalesce(sum(n) OVER (PARTITION BY doc_id ORDER BY part
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+    FROM passages WHERE n > 0
 ), lines AS (
-    SELECT doc_id, folder, length(text) AS chars, unnest(string_split(text, chr(10))) AS line,
-           generate_subscripts(string_split(text, chr(10)), 1) AS pos
-    FROM files
-), line_words AS (
-    SELECT doc_id, folder, chars, pos, length(line) AS size, w, count(*) AS n
-    FROM lines, unnest(regexp_extract_all(lower(line), '[\p{L}\p{N}]+')) AS t(w) GROUP BY ALL
+    SELECT doc_id, part, unnest(string_split(passage, chr(10))) AS unit,
+           generate_subscripts(string_split(passage, chr(10)), 1) AS pos
+    FROM passages
+), stretches AS (
+    SELECT a.doc_id, a.part, b.part AS last FROM placed a JOIN placed b
+      ON a.doc_id = b.doc_id AND b.part > a.part AND b.start + b.n - a.start <= __MOST__
+), units AS (
+    SELECT doc_id, part, pos, unit FROM lines
+    UNION ALL SELECT doc_id, part, -1, passage FROM passages WHERE contains(passage, chr(10))
+    UNION ALL SELECT s.doc_id, s.part, -1 - s.last, string_agg(p.passage, chr(10) || chr(10) ORDER BY p.part)
+              FROM stretches s JOIN placed p ON s.doc_id = p.doc_id AND p.part BETWEEN s.part AND s.last
+              GROUP BY s.doc_id, s.part, s.last
+), unit_words AS (
+    SELECT doc_id, part, pos, w, count(*) AS n
+    FROM units, unnest(regexp_extract_all(lower(unit), '[\p{L}\p{N}]+')) AS t(w) GROUP BY ALL
 ), weighed AS (
-    SELECT l.*, l.n * coalesce(i.idf, ln(CAST(1 + total.n AS DOUBLE)) + 1) AS x
-    FROM line_words l LEFT JOIN idf i USING (w), total
+    SELECT doc_id, part, pos, w, n * idf AS x FROM unit_words JOIN idf USING (w)
 ), norms AS (
-    SELECT doc_id, folder, chars, pos, size, sqrt(sum(x * x)) AS norm FROM weighed GROUP BY ALL
+    SELECT doc_id, part, pos, sqrt(sum(x * x)) AS norm FROM weighed GROUP BY ALL
 ), cosines AS (
-    SELECT n.doc_id, n.folder, n.chars, n.pos, n.size, v.name, round(sum(g.x * v.x) / any_value(n.norm), 6) AS cosine
-    FROM weighed g JOIN vectors v USING (w) JOIN norms n ON g.doc_id = n.doc_id AND g.pos = n.pos
-    GROUP BY ALL HAVING cosine >= 0.8
-), line_best AS (
-    SELECT * FROM cosines QUALIFY row_number() OVER (PARTITION BY doc_id, pos ORDER BY cosine DESC, name) = 1
+    SELECT g.doc_id, g.part, g.pos, v.name, round(sum(g.x * v.x) / any_value(n.norm), 6) AS cosine
+    FROM weighed g JOIN vectors v USING (w)
+    JOIN norms n ON g.doc_id = n.doc_id AND g.part = n.part AND g.pos = n.pos
+    WHERE v.whole OR g.pos >= -1
+    GROUP BY g.doc_id, g.part, g.pos, v.id, v.name HAVING cosine >= 0.8
+), unit_best AS (
+    SELECT c.doc_id, c.part, c.pos, max(c.cosine) AS cosine, first(c.name ORDER BY c.cosine DESC, c.name) AS name,
+           any_value(length(u.unit)) AS size
+    FROM cosines c JOIN units u ON c.doc_id = u.doc_id AND c.part = u.part AND c.pos = u.pos
+    GROUP BY c.doc_id, c.part, c.pos
+), part_best AS (
+    SELECT doc_id, part, greatest(coalesce(sum(size) FILTER (pos >= 0), 0),
+                                  coalesce(sum(size) FILTER (pos = -1), 0)) AS size,
+           coalesce(max(size) FILTER (pos < -1), 0) AS longest
+    FROM unit_best GROUP BY doc_id, part
 ), own AS (
-    SELECT doc_id, folder, chars, sum(size) AS size,
-           first(name ORDER BY cosine DESC, name) AS own_license, max(cosine) AS cosine
-    FROM line_best GROUP BY doc_id, folder, chars
+    SELECT doc_id, folder, any_value(chars) AS chars, greatest(sum(p.size), max(p.longest)) AS size,
+           any_value(b.own_license) AS own_license, any_value(b.cosine) AS cosine
+    FROM part_best p JOIN files USING (doc_id) JOIN (
+        SELECT doc_id, max(cosine) AS cosine, first(name ORDER BY cosine DESC, name) AS own_license
+        FROM unit_best GROUP BY doc_id) b USING (doc_id)
+    GROUP BY doc_id, folder
 ), folders AS (
     SELECT folder, own_license AS name FROM own WHERE size >= chars * 0.1::DOUBLE GROUP BY folder, own_license
     QUALIFY row_number() OVER (PARTITION BY folder ORDER BY count(*) DESC, own_license) = 1
@@ -299,13 +329,18 @@ FROM scores QUALIFY rank <= 50
 """
 
 
+def _licenses() -> str:
+    rows = [(i >= len(NOTICES), *t) for i, t in enumerate([*NOTICES, *TEXTS])]
+    values = [f"    ({i}, {whole}, '{name}', '{text}')" for i, (whole, name, text) in enumerate(rows)]
+    most = STRETCH * max(len(re.findall(r"[^\W_]+", text)) for _, text in TEXTS)
+    return _LICENSES.replace("__TEMPLATES__", ",\n".join(values)).replace("__MOST__", str(most))
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_line_dedup": _LINE_DEDUP,
         "op3_mixing": _MIXING,
-        "op5_licenses": _LICENSES.replace(
-            "__NOTICES__", ",\n".join(f"    ('{name}', '{text}')" for name, text in NOTICES)
-        ),
+        "op5_licenses": _licenses(),
         "op6_url_filter": _URL_FILTER,
         "op7_topk": _TOPK,
         "op9_decontamination": _DECONTAMINATION,
