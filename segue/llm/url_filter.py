@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import string
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -63,9 +64,20 @@ def _bit(key: Column, level: int, n: int, bits: int) -> Column:
     return F.pmod(F.xxhash64(F.lit(level * HASHES + n), key), F.lit(bits))
 
 
-def _filter_words(keys: DataFrame, level: int, count: int) -> tuple[DataFrame, int]:
+def filter_bits(count: int, others: int) -> int:
+    """Bits of a filter that about ``count`` of ``others`` other keys pass.
+
+    Then the next filter holds about as many keys as this one, however many keys the
+    universe has: its size adds only bits per listed key.
+    """
+    share = min(max(count, 1) / max(others, 1), 0.5)
+    each = max(BITS_PER_KEY, -HASHES / math.log1p(-(share ** (1 / HASHES))))
+    return max(64, math.ceil(count * each / 64) * 64)
+
+
+def _filter_words(keys: DataFrame, level: int, count: int, others: int) -> tuple[DataFrame, int]:
     """A Bloom filter of ``keys`` as one row: an array of 64-bit words."""
-    bits = max(64, -(-count * BITS_PER_KEY // 64) * 64)
+    bits = filter_bits(count, others)
     if bits > MOST_BITS:
         raise ValueError(f"a filter of {count} keys exceeds {MOST_BITS} bits")
     places = keys.select(
@@ -110,12 +122,13 @@ class Cascade:
         inside, outside = known.filter("listed"), known.filter("not listed")
         self.filters: list[tuple[DataFrame, int]] = []
         wanted, others = inside, outside
+        left = outside.count()
         while count := wanted.count():
             level = len(self.filters)
-            words, bits = _filter_words(wanted, level, count)
+            words, bits = _filter_words(wanted, level, count, left)
             self.filters.append((stage(words, f"{name}-{level}"), bits))
             passing = others.filter(self._passes(F.col("key"), level))
-            wanted, others = stage(passing, f"{name}-passing"), wanted
+            wanted, others, left = stage(passing, f"{name}-passing"), wanted, count
 
     def _passes(self, key: Column, level: int) -> Column:
         words, bits = self.filters[level]
@@ -149,8 +162,12 @@ def url_filter(
     host, characters of the path), so each URL has at most one key per shape. The
     distinct keys of the corpus are the universe of one cascade per verdict, and
     the rows are then judged where they lie, by filters of bounded size, without
-    a join. The longest matching rule wins, of equal ones the longer host. A URL
-    without a rule is in no list and gets ``default``.
+    a join. The longest matching rule wins, of equal ones the longer host; a key listed
+    under several verdicts has the last of them by name. A URL without a rule
+    is in no list and gets ``default``. ``rules`` are a list in memory; filters
+    grow with their number, not with that of the URLs (``filter_bits``), and more than
+    about 50 million keys of one verdict are refused. A very long URL costs its
+    length, and other columns of ``pages`` play no part.
 
     A NULL URL, or one without ``://``, has an empty host and path and matches
     nothing. Repeated rows are judged alike. An empty table gives no rows.
