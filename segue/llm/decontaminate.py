@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +18,7 @@ from segue.sources.storage import scratch_path, stage
 WINDOW = 13
 SHARD_WORDS = 1 << 19
 BLOCK_WORDS = 1 << 17  # words of test items searched for together
-BROADCAST_BYTES = 32 << 20  # of all test items; more go through a shuffle
+BROADCAST_BYTES = 32 << 20  # of test items that are searched for in one round
 
 _INDEX = (
     "shard bigint, doc_ids array<bigint>, versions array<bigint>, doc_words array<bigint>, "
@@ -219,8 +220,9 @@ def contamination(
     when at least one in ``share`` of its words is hit.
 
     Shards of documents are indexed where they lie and written; every block of
-    items is then searched in every shard. The items reach the shards by a
-    broadcast up to ``BROADCAST_BYTES``, else by a shuffle. Words are compared by
+    items is then searched in every shard. The items come to the shards, by broadcasts
+    of up to ``BROADCAST_BYTES``; more items take more rounds over the written indexes,
+    whose rows never move. Words are compared by
     64-bit hashes, so a false hit needs a whole window of agreeing hashes.
     ``version`` (a hash of the text) tells rows with the same id apart.
 
@@ -234,12 +236,7 @@ def contamination(
     blocks, size = item_blocks(items, item_col, item_text_col)
     index = spark.read.schema(_INDEX).parquet(path)
     n_blocks = max(1, blocks.count())
-    numbers = blocks.select("block")
-    # Without items, the shards still give their documents.
-    listed = numbers.agg(F.collect_list("block").alias("b")).scalar() if size else F.array(F.lit(0))
-    placed = index.withColumn("block", F.explode(listed))
-    small = size <= BROADCAST_BYTES
-    joined = placed.join(F.broadcast(blocks) if small else blocks, "block", "left")
+    rounds = max(1, -(-size // BROADCAST_BYTES))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, _Phrases] = {}
@@ -250,7 +247,14 @@ def contamination(
                     known = {row["block"]: _Phrases(row["block_items"] or [], window)}
                 yield _search(row, known[row["block"]])
 
-    found = joined.mapInArrow(search, _FOUND)
+    def searched(part: int) -> DataFrame:
+        mine = blocks.filter(F.col("block") % rounds == part)
+        # Without items, the shards still give their documents.
+        listed = mine.agg(F.collect_list("block").alias("b")).scalar() if size else F.array(F.lit(0))
+        placed = index.withColumn("block", F.explode(listed))
+        return placed.join(F.broadcast(mine), "block", "left").mapInArrow(search, _FOUND)
+
+    found = reduce(DataFrame.union, map(searched, range(rounds)))
     if n_blocks > 1:
         found = (
             found.groupBy("shard", "place", "id", "version", "n_words")
