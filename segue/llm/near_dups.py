@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segue.llm.components import components
@@ -25,10 +26,11 @@ LONG_SAMPLES = 512
 LIKELY = 373
 LEAST_IDF = 1.8  # in all documents; so near 2 that a group's size hardly moves the limit
 FREQUENT = 2.5e-7  # documents per byte of text from which a shingle has its own weight
-BLOCK = 1024  # members of a bucket compared in one go
-LAST = (1 << 63) - 1
+BLOCK = 512  # members of a bucket compared in one go
+BLOCK_BYTES = 16 << 20  # and their shingles
 FLUSH = 1 << 21  # shingles a task gathers before it passes them on
 
+BATCH_ROWS = 256  # rows with their shingles that go to Python in one go
 PAIRS = 64  # pairs of texts compared in one go
 
 _ID_BITS = 44  # of a shingle's hash
@@ -113,10 +115,13 @@ class Weights:
 
 
 def _signatures(
-    words: Words, weights: Weights, factors: np.ndarray = _FACTORS[:SAMPLES]
+    words: Words,
+    weights: Weights,
+    factors: np.ndarray = _FACTORS[:SAMPLES],
+    sets: tuple[np.ndarray, np.ndarray] | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """(samples, whether there are any) of some texts, one sample per factor."""
-    keys, times = _sets(words)
+    keys, times = _sets(words) if sets is None else sets
     owner = (keys >> np.uint64(_ID_BITS)).astype(np.int64)
     ids = keys & _ID_MASK
     idf = weights.idfs(ids)
@@ -252,19 +257,28 @@ def _sign(rows: DataFrame, weights: Weights) -> DataFrame:
 
 
 def _sign_long(texts: DataFrame, weights: Weights) -> DataFrame:
-    """(node, samples) of (node, text): ``LONG_SAMPLES`` bytes each."""
+    """(node, samples, shingles, times) of (node, text), packed.
+
+    ``LONG_SAMPLES`` bytes of samples, and the shingles with the times they occur.
+    """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin, end, words in chunks(batch.column(1)):
-                samples, _ = _signatures(words, weights, _FACTORS[SAMPLES:])
-                own = [s.tobytes() for s in samples.astype(np.uint8)]
+                keys, times = _sets(words)
+                samples, _ = _signatures(words, weights, _FACTORS[SAMPLES:], (keys, times))
+                edges = np.searchsorted(keys >> np.uint64(_ID_BITS), np.arange(1, len(words), dtype=np.uint64))
+                columns = [
+                    [s.tobytes() for s in samples.astype(np.uint8)],
+                    [k.tobytes() for k in np.split(keys & _ID_MASK, edges)],
+                    [t.astype("<u4").tobytes() for t in np.split(times, edges)],
+                ]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(begin, end - begin), pa.array(own, pa.binary())],
-                    ["node", "samples"],
+                    [batch.column(0).slice(begin, end - begin), *(pa.array(c, pa.binary()) for c in columns)],
+                    ["node", "samples", "shingles", "times"],
                 )
 
-    return texts.mapInArrow(sign, "node bigint, samples binary")
+    return texts.mapInArrow(sign, "node bigint, samples binary, shingles binary, times binary")
 
 
 def _similar(pairs: DataFrame, weights: Weights, similarity: float) -> DataFrame:
@@ -321,32 +335,96 @@ def _order_id():
     return F.coalesce("id", F.lit((1 << 63) - 1))
 
 
-def _unlike_pairs(members: DataFrame, forest: bool) -> DataFrame:
-    """Likely pairs (a, b) of different components in one bucket.
-
-    ``members`` (stored) is (h, node, comp, samples, bands) of buckets with several
-    components. Buckets are cut into blocks of about ``BLOCK`` members: large
-    components into blocks of their own, the others together. Blocks of the same
-    bucket meet, except two of one component, so a bucket that is nearly all one
-    component costs no more than its size times the rest. Signatures are compared
-    inside the task and only likely pairs leave it: all of them, or with
-    ``forest`` only those that connect components when the pairs of two blocks
-    are taken by falling agreement.
+@contextmanager
+def _batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of so many rows, for jobs whose rows are long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    held = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, held)
+
+
+class _Bags:
+    """The weighted shingles of some texts, for exact similarities of one to many."""
+
+    def __init__(self, shingles: list[bytes], times: list[bytes], weights: Weights):
+        sizes = np.array([len(b) // 8 for b in shingles], np.int64)
+        self.first = np.concatenate([[0], np.cumsum(sizes)])
+        ids = np.frombuffer(b"".join(shingles), np.uint64)
+        self.weight = np.frombuffer(b"".join(times), "<u4") * weights.idfs(ids)
+        names, self.place = np.unique(ids, return_inverse=True)
+        self.row = np.zeros(len(names))
+        sums = np.concatenate([[0.0], np.cumsum(self.weight)])
+        self.total = sums[self.first[1:]] - sums[self.first[:-1]]
+
+    def similarity(self, x: int, others: np.ndarray) -> np.ndarray:
+        own = slice(self.first[x], self.first[x + 1])
+        self.row[self.place[own]] = self.weight[own]
+        sizes = self.first[others + 1] - self.first[others]
+        starts = np.cumsum(sizes) - sizes
+        at = np.repeat(self.first[others] - starts, sizes) + np.arange(sizes.sum())
+        both = np.add.reduceat(np.minimum(self.row[self.place[at]], self.weight[at]), starts)
+        self.row[self.place[own]] = 0.0
+        return both / (self.total[x] + self.total[others] - both)
+
+
+def _links(comps: np.ndarray, samples: np.ndarray, bags: _Bags, similarity: float) -> list[tuple[int, int]]:
+    """Pairs that are similar enough, as many as connect what such pairs connect.
+
+    Members of components not reached yet are compared with the next one, first by
+    samples and the likely ones exactly. A pair more for each component
+    that is reached is kept, so there are fewer pairs than members.
+    """
+    links: list[tuple[int, int]] = []
+    left = np.arange(len(comps))
+    while len(left) > 1:
+        inside = comps[left] == comps[left[0]]
+        queue, left, at = left[inside].tolist(), left[~inside], 0
+        while at < len(queue) and len(left):
+            x = queue[at]
+            at += 1
+            likely = left[(samples[left] == samples[x]).sum(axis=1) >= LIKELY]
+            if not len(likely):
+                continue
+            reached = likely[bags.similarity(x, likely) >= similarity]
+            if not len(reached):
+                continue
+            names, first = np.unique(comps[reached], return_index=True)
+            links += [(x, int(y)) for y in reached[first]]
+            gone = np.isin(comps[left], names)
+            queue += left[gone].tolist()
+            left = left[~gone]
+    return links
+
+
+def _block_links(members: DataFrame, weights: Weights, similarity: float) -> DataFrame:
+    """Links (a, b) that connect components inside the buckets, verified in place.
+
+    ``members`` (stored) is (h, node, comp, samples, shingles, times) of buckets with
+    several components. Buckets are cut into blocks of about ``BLOCK`` members and
+    ``BLOCK_BYTES``: large components into blocks of their own, the others together.
+    Blocks of the same bucket meet, except two of one component, so a bucket that is
+    nearly all one component costs no more than its size times the rest. Only
+    links that connect components leave a task, never all pairs of a bucket.
     """
-    sizes = members.groupBy("h", "comp").agg(F.count("*").alias("n"))
+    volume = F.octet_length("shingles")
+    sizes = members.groupBy("h", "comp").agg(F.count("*").alias("n"), F.sum(volume).alias("bytes"))
+    blocks_of = lambda n, size: F.greatest(F.ceil(n / BLOCK), F.ceil(size / BLOCK_BYTES), F.lit(1))
+    sizes = sizes.withColumn("pieces", blocks_of(F.col("n"), F.col("bytes")))
     rest = (
-        sizes.filter(F.col("n") <= BLOCK)
+        sizes.filter("pieces = 1")
         .groupBy("h")
-        .agg(F.sum("n").alias("rest"))
+        .agg(blocks_of(F.sum("n"), F.sum("bytes")).alias("rest"))
     )
     sizes = stage(sizes.join(rest, "h", "left"), "bucket-sizes")
-    large = F.col("n") > BLOCK
-    piece = F.when(
-        large, F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK))
-    ).otherwise(F.pmod(F.xxhash64("comp", "h"), F.ceil(F.col("rest") / BLOCK)))
+    large = F.col("pieces") > 1
+    piece = F.when(large, F.pmod(F.xxhash64("node"), "pieces")).otherwise(F.pmod(F.xxhash64("comp", "h"), "rest"))
     placed = stage(
         members.join(sizes, ["h", "comp"]).select(
-            "h", "node", "comp", "samples", "bands",
+            "h", "node", "comp", "samples", "shingles", "times",
             F.when(large, F.col("comp")).alias("pure"),
             F.xxhash64(F.when(large, F.col("comp")), piece).alias("block"),
         ),
@@ -359,95 +437,46 @@ def _unlike_pairs(members: DataFrame, forest: bool) -> DataFrame:
         .filter("x.block <= y.block and (x.pure is null or y.pure is null or x.pure <> y.pure)")
         .select("h", F.col("x.block").alias("i"), F.col("y.block").alias("j"))
     )
-    sides = meets.select("h", F.col("i").alias("block"), F.lit(0).alias("side"), "i", "j").union(
-        meets.filter("i <> j").select("h", F.col("j").alias("block"), F.lit(1), "i", "j")
-    )
-    rows = placed.join(sides, ["h", "block"]).select(
-        "h", "i", "j", "side", "node", "comp", "samples", "bands"
+    sides = meets.select("h", F.col("i").alias("block"), "i", "j").union(
+        meets.filter("i <> j").select("h", F.col("j").alias("block"), "i", "j")
     )
+    rows = placed.join(sides, ["h", "block"]).select("h", "i", "j", "node", "comp", "samples", "shingles", "times")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
-
-        def pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            if not table.num_rows:
-                return
+        def links(table: pa.Table) -> pa.RecordBatch:
             keys = np.stack([table.column(c).to_numpy() for c in ("h", "i", "j")])
             edges = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
-            nodes, comps, sides = (table.column(c).to_numpy() for c in ("node", "comp", "side"))
-            samples = np.frombuffer(b"".join(table.column("samples").to_pylist()), np.uint8)
-            samples = samples.reshape(-1, LONG_SAMPLES)
-            bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
-            table_h = keys[0]
             found = [[], []]
-            for begin, end in zip([0, *edges], [*edges, len(nodes)], strict=True):
-                group = slice(begin, end)
-                n, c, s, side = nodes[group], comps[group], samples[group], sides[group]
-                split = side.any()
-                right = np.flatnonzero(side == 1) if split else np.arange(len(n))
-                near = [np.zeros((3, 0), np.int64)]
-                for i in range(len(n)):
-                    if split and side[i]:
-                        continue
-                    others = right if split else right[i + 1 :]
-                    others = others[c[others] != c[i]]
-                    agree = (s[others] == s[i]).sum(axis=1)
-                    others, agree = others[agree >= LIKELY], agree[agree >= LIKELY]
-                    # A pair leaves from the first of its common buckets only.
-                    shared = np.where(bands[begin + others] == bands[begin + i], bands[begin + i], LAST)
-                    here = shared.min(axis=1, initial=LAST) == table_h[begin]
-                    others, agree = (others, agree) if forest else (others[here], agree[here])
-                    near.append(np.stack([np.full(len(others), i), others, agree]))
-                near = np.concatenate(near, axis=1)
-                near = _forest(near, c) if forest else near
-                for i, o in near[:2].T:
-                    pair = (min(n[i], n[o]), max(n[i], n[o]))
-                    if pair not in seen:
-                        seen.add(pair)
-                        found[0].append(pair[0])
-                        found[1].append(pair[1])
-            if len(seen) > 1_000_000:  # pairs that are met again are removed later
-                seen.clear()
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], ["a", "b"])
+            for begin, end in zip([0, *edges], [*edges, table.num_rows], strict=True):
+                unit = table.slice(begin, end - begin)
+                nodes, comps = unit.column("node").to_numpy(), unit.column("comp").to_numpy()
+                if len(nodes) < 2 or (comps == comps[0]).all():
+                    continue
+                samples = np.frombuffer(b"".join(unit.column("samples").to_pylist()), np.uint8)
+                bags = _Bags(unit.column("shingles").to_pylist(), unit.column("times").to_pylist(), weights)
+                for x, y in _links(comps, samples.reshape(-1, LONG_SAMPLES), bags, similarity):
+                    found[0].append(min(nodes[x], nodes[y]))
+                    found[1].append(max(nodes[x], nodes[y]))
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], ["a", "b"])
 
         held = None
         for batch in batches:
             table = pa.Table.from_batches([batch])
             table = table if held is None else pa.concat_tables([held, table])
-            # The last group may go on in the next batch.
+            # The last unit may go on in the next batch.
             keys = np.stack([table.column(c).to_numpy() for c in ("h", "i", "j")])
             others = np.flatnonzero((keys != keys[:, -1:]).any(axis=0))
             cut = int(others[-1]) + 1 if len(others) else 0
-            yield from pairs(table.slice(0, cut))
+            if cut:
+                yield links(table.slice(0, cut))
             held = table.slice(cut)
-        if held is not None:
-            yield from pairs(held)
+        if held is not None and held.num_rows:
+            yield links(held)
 
-    dealt = rows.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j", "side")
+    dealt = rows.repartition("h", "i", "j").sortWithinPartitions("h", "i", "j")
     return dealt.mapInArrow(compare, "a bigint, b bigint").distinct()
 
 
-def _forest(pairs: np.ndarray, comps: np.ndarray) -> np.ndarray:
-    """Those of the pairs (i, j, agreement) that connect components, closest first."""
-    above: dict[int, int] = {}
-
-    def top(x: int) -> int:
-        while (y := above.get(x, x)) != x:
-            above[x] = x = above.get(y, y)
-        return x
-
-    order = np.argsort(-pairs[2], kind="stable")
-    left, kept = len(np.unique(comps)) - 1, []
-    for at, x, y in zip(order, comps[pairs[0][order]], comps[pairs[1][order]], strict=True):
-        x, y = top(x), top(y)
-        if x != y:
-            above[x] = y
-            kept.append(at)
-            if len(kept) == left:
-                break
-    return pairs[:, kept]
-
-
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -468,11 +497,11 @@ def near_duplicates(
     * Bands of ``ROWS`` samples make buckets. A pair at the similarity limit
       shares none of ``BANDS`` bands once in about 13,000 cases.
     * In every bucket all members are compared with the smallest one, exactly.
-      Of buckets that are still in several components after that, members of
-      different components are compared by their signatures and then exactly:
-      first the closest pairs that would connect them, then, where components
-      are left, all likely pairs. So each pair of a bucket is either in one
-      component already or was compared.
+      Of buckets whose others are still in several components after that, blocks of
+      members meet, with their packed shingles. Members of different components are
+      compared by longer signatures, and the likely ones exactly, until no more
+      components can be connected. So each pair of a bucket is either in one
+      component already or was compared. Buckets of the same members are one.
 
     A NULL text counts as empty. Texts without words only match equal ones, and
     texts of one to four words are one shingle. A NULL id has no part in the
@@ -508,30 +537,31 @@ def near_duplicates(
     tested = stage(stars.distinct(), "stars")
     edges = _verified(tested, rows, nodes, weights, similarity, "star")
     labels = components(edges)
-    for forest in (True, False):
-        labelled = stage(
-            members.select("h", "node")
-            .join(labels, "node", "left")
-            .select("h", "node", F.coalesce("label", "node").alias("comp")),
-            "labelled",
-        )
-        several = (
-            labelled.groupBy("h")
-            .agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
-            .filter("x <> y")
+    # Every member was compared with the smallest one of its bucket, so only the
+    # others can still need a link.
+    labelled = stage(
+        members.filter("node <> lead").select("h", "node")
+        .join(labels, "node", "left")
+        .select("h", "node", F.coalesce("label", "node").alias("comp")),
+        "labelled",
+    )
+    several = (
+        labelled.groupBy("h")
+        .agg(
+            F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("n"),
+            F.bit_xor(F.xxhash64("node")).alias("of"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("of2"),
         )
-        open_ = stage(labelled.join(several.select("h"), "h", "left_semi"), "open")
-        if forest:
-            signed_long = _sign_long(_texts(open_.select("node"), rows, nodes, "open"), weights)
-            signatures = stage(signed_long.join(nodes.select("node", "bands"), "node"), "signatures")
-        likely = _unlike_pairs(stage(open_.join(signatures, "node"), "open-members"), forest)
-        known = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        more = stage(likely.join(known, ["a", "b"], "left_anti"), "unlike")
-        if more.isEmpty():
-            continue
-        edges = edges.union(_verified(more, rows, nodes, weights, similarity, "unlike"))
-        tested = tested.union(more)
-        labels = components(edges)
+        .filter("x <> y")
+        .groupBy("n", "of", "of2")
+        .agg(F.min("h").alias("h"))
+    )
+    open_ = stage(labelled.join(several.select("h"), "h", "left_semi"), "open")
+    texts = _texts(open_.select("node"), rows, nodes, "open")
+    with _batches(docs.sparkSession, BATCH_ROWS):
+        shown = stage(open_.join(stage(_sign_long(texts, weights), "signatures"), "node"), "open-members")
+        more = stage(_block_links(shown, weights, similarity), "unlike-edges")
+    if not more.isEmpty():
+        labels = components(edges.union(more))
     labelled = stage(
         nodes.join(labels, "node", "left").select(
             F.col("node").alias("v1"), "first_id", "n", F.coalesce("label", "node").alias("label")
@@ -577,4 +607,7 @@ def one_of_each(
         gone, F.col(id_col).eqNullSafe(F.col("_id")) & (version == F.col("_v")), "left_anti"
     )
     repeated = found.filter("stays").groupBy(id_col, "version").count().filter("count > 1")
-    return kept if repeated.isEmpty() else kept.dropDuplicates([id_col, text_col])
+    if repeated.isEmpty():
+        return kept
+    # By the hash, as a NULL and an empty text of one id are the same.
+    return kept.withColumn("_version", version).dropDuplicates([id_col, "_version"]).drop("_version")

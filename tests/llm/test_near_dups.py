@@ -37,7 +37,8 @@ def brute_force(rows):
     def idf(s):
         if df[s] < floor or not scale:
             return 2.0
-        return 1 + min(max(math.log(n / df[s]) / scale, 0), 1)
+        rare = min(max(math.log(n / df[s]) / scale, 0), 1)
+        return near_dups.LEAST_IDF + (2 - near_dups.LEAST_IDF) * rare
 
     weights = [{s: t * idf(s) for s, t in b.items()} for b in bags]
     parent = list(range(n))
@@ -119,6 +120,27 @@ def test_copies_stay_linked_in_a_group_of_a_third(spark):
     assert one_of_each(docs).count() == 400
 
 
+def test_links_grow_with_the_size_of_a_group(spark, monkeypatch):
+    """Texts with two edits each are hardly similar: few links, however many pairs."""
+    kept = {}
+    plain = near_dups.stage
+    monkeypatch.setattr(near_dups, "stage", lambda df, name: kept.setdefault(name, []).append(plain(df, name)) or kept[name][-1])
+    draw = random.Random(11)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for key in range(240):
+        copy = list(base)
+        for at in draw.sample(range(5, 115), 2):
+            copy[at] = f"edit{key}x{at}"
+        rows.append((key, " ".join(copy)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for n in (120, 240):
+        got = near_duplicates(docs.filter(F.col("doc_id") < n)).collect()
+        assert sorted((r.doc_id, r.class_id) for r in got) == brute_force(rows[:n])
+    links = [frame.count() for frame in kept["unlike-edges"]]
+    assert links[1] <= 240 and sum(f.count() for f in kept["star-edges"]) < 2000
+
+
 def test_one_row_of_each_class_stays(spark, planted):
     docs = spark.createDataFrame(planted, "doc_id long, text string").select(
         "*", F.lit("x").alias("node"), F.lit(1).alias("v1"), F.lit(2).alias("label")
@@ -137,6 +159,8 @@ def test_null_ids_and_empty_table(spark):
     assert sum(r.stays for r in got) == 2
     assert one_of_each(docs).count() == 2
     assert near_duplicates(docs.limit(0)).count() == 0
+    same = spark.createDataFrame([(5, None), (5, ""), (6, "a b")], "doc_id long, text string")
+    assert one_of_each(same).count() == 2
     assert one_of_each(docs.limit(0)).count() == 0
 
 
