@@ -47,6 +47,45 @@ def _scores(items: pa.Table, queries: pa.Table) -> Iterator[tuple[int, np.ndarra
         yield first, scores
 
 
+def _packed(table: pa.Table) -> bytes:
+    """A table as one binary value; lists of equal length lose their offsets."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table.combine_chunks())
+    return sink.getvalue().to_pybytes()
+
+
+def _unpacked(value: pa.Scalar) -> pa.Table:
+    return pa.ipc.open_stream(value.as_buffer()).read_all()
+
+
+def pack_kernel(number: str, order: str | None = None) -> Callable[[pa.Table], pa.Table]:
+    """One row (number, block) for all rows of a block, sorted by ``order``."""
+
+    def pack(rows: pa.Table) -> pa.Table:
+        if order is not None:
+            rows = rows.take(pc.sort_indices(rows[order]))
+        return pa.table({number: rows[number].slice(0, 1), "block": pa.array([_packed(rows.drop_columns([number]))])})
+
+    return pack
+
+
+def meeting(
+    kernel: Callable[[pa.Table, pa.Table], pa.Table], schema: pa.Schema
+) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """Runs ``kernel`` on a packed block of items and each of some packed blocks of queries."""
+
+    def meet(items: pa.Table, queries: pa.Table) -> pa.Table:
+        found = [schema.empty_table()]
+        for shown in items["block"]:
+            table = _unpacked(shown)
+            for asked in queries["block"]:
+                found.append(kernel(table, _unpacked(asked)).select(schema.names).cast(schema))
+        return pa.concat_tables(found)
+
+    return meet
+
+
 def span_kernel(keys: list[str]) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """Smallest and largest score of every query inside the tile."""
 
@@ -75,11 +114,12 @@ def best_positions(scores: np.ndarray, k: int, floor: float) -> np.ndarray:
 
 
 def top_kernel(keys: list[str]) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """The ``keep`` best items of every query inside the tile, from its floor up."""
+    """The ``keep`` best items of every query inside the tile, from its floor up.
+
+    Items come in URI order, so that equal scores are taken by the smallest URI.
+    """
 
     def top(items: pa.Table, queries: pa.Table) -> pa.Table:
-        # In URI order, so that equal scores are taken by the smallest URI.
-        items = items.take(pc.sort_indices(items["track_uri"]))
         keep = queries["keep"].to_numpy()
         floor = queries["floor"].to_numpy()
         owner, found = [np.empty(0, np.int64)], [np.empty(0, np.int64)]

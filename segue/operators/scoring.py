@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from segue.functions import tiles
 from segue.functions.columns import WORD
@@ -42,6 +43,8 @@ WEIGHTS = {"popularity": 0.1, "als": 0.5, "word2vec": 0.4}
 TILE_ITEMS = 32_768
 TILE_QUERIES = 1_024
 TILE_RESULTS = 500_000
+# Query blocks that one copy of an item block meets in a task.
+QUERY_BLOCKS = 4
 
 # Longest table of vectors that is broadcast: 100 MB at 128 doubles.
 VECTOR_ROWS = 100_000
@@ -201,11 +204,11 @@ def _tiles(
 ) -> DataFrame:
     """Run ``kernel`` on every pair of an item block and a query block.
 
-    Blocks are formed by hash; items are copied once per query block and
-    queries once per item block, and the pairs meet by an equi join on their
-    number (cogroup). Both blocks have a fixed expected size, so a tile fits in
-    a task whatever the number of items and queries, and nothing is broadcast
-    or fetched.
+    Blocks are formed by hash and packed: all rows of a block are one binary value.
+    An item block is copied once for every ``QUERY_BLOCKS`` query blocks, query
+    blocks once per item block, and they meet by an equi join on their numbers
+    (cogroup). All blocks have a fixed expected size, so a meeting fits in a task
+    whatever the number of items and queries, and nothing is broadcast or fetched.
     """
     n_items = candidates.count()
     kept = F.least("keep", F.lit(TILE_ITEMS)) if keep_rows else F.lit(1)
@@ -217,33 +220,41 @@ def _tiles(
     query_blocks = max(
         -(-n_queries // TILE_QUERIES), -(-(n_kept or 0) // TILE_RESULTS), 1
     )
+    groups = -(-query_blocks // QUERY_BLOCKS)
     item_block = F.pmod(F.xxhash64("track_uri"), F.lit(item_blocks)).cast("int")
     query_block = F.pmod(F.xxhash64(*keys), F.lit(query_blocks)).cast("int")
-    partitions = min(item_blocks * query_blocks, 20_000)
-    left = candidates.select(
-        "track_uri",
-        "popularity",
-        "als",
-        "word",
-        "word_norm",
-        item_block.alias("_i"),
-        F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("_q"),
-    ).repartition(partitions, "_i", "_q")
+    left = (
+        candidates.select(
+            item_block.alias("_i"), "track_uri", "popularity", "als", "word", "word_norm"
+        )
+        .groupBy("_i")
+        .applyInArrow(tiles.pack_kernel("_i", "track_uri"), "_i int, block binary")
+        .withColumn("_g", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    )
     columns = [*keys, "weight", "als_q", "word_q", "shift"]
-    right = queries.select(
-        *columns,
-        *(["keep", "floor"] if keep_rows else []),
-        query_block.alias("_q"),
-        F.explode(F.sequence(F.lit(0), F.lit(item_blocks - 1))).alias("_i"),
-    ).repartition(partitions, "_i", "_q")
+    right = (
+        queries.select(
+            query_block.alias("_q"), *columns, *(["keep", "floor"] if keep_rows else [])
+        )
+        .groupBy("_q")
+        .applyInArrow(tiles.pack_kernel("_q"), "_q int, block binary")
+        .select(
+            F.pmod("_q", F.lit(groups)).alias("_g"),
+            "block",
+            F.explode(F.sequence(F.lit(0), F.lit(item_blocks - 1))).alias("_i"),
+        )
+    )
     schema = T.StructType(
         [queries.schema[k] for k in keys]
         + [T.StructField(name, kind) for name, kind in results]
     )
+    meet = tiles.meeting(kernel(keys), to_arrow_schema(schema))
+    partitions = min(item_blocks * groups, 20_000)
     return (
-        left.groupBy("_i", "_q")
-        .cogroup(right.groupBy("_i", "_q"))
-        .applyInArrow(kernel(keys), schema)
+        left.repartition(partitions, "_i", "_g")
+        .groupBy("_i", "_g")
+        .cogroup(right.repartition(partitions, "_i", "_g").groupBy("_i", "_g"))
+        .applyInArrow(meet, schema)
     )
 
 
