@@ -6,11 +6,13 @@ import os
 import re
 import zlib
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import islice
 from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -18,8 +20,10 @@ from pyspark.sql import functions as F
 
 from segue.llm.prefix_tokens import _COMMON, LIBRARY_SPACE, _Cache, byte_symbols
 from segue.llm.wavelet import WaveletMatrix
+from segue.sources.storage import stage
 
 SHARD_TOKENS = 1 << 19
+CHUNK_CHARS = 1 << 22  # text encoded in one go
 CACHED = 900_000  # pieces and words a worker keeps
 
 _FILE = (
@@ -37,12 +41,9 @@ _COMMON_PIECE = re.compile(
 _PLAIN = re.compile(f"(?:[{_LOWER} \\n]++|[.,](?![^ \\n]))*+")
 
 
-def _pieces(text: str) -> list[str]:
-    """The pieces of a text of Latin-1 letters and ASCII."""
-    text = text.lower()
-    if _PLAIN.fullmatch(text):
-        return text.replace(",", " ,").replace(".", " .").split()
-    return _COMMON_PIECE.findall(text)
+def _spaced(lower: str) -> str:
+    """A plain text with blanks between all its pieces."""
+    return lower.replace(",", " ,").replace(".", " .")
 
 
 class WordEncoder:
@@ -51,7 +52,8 @@ class WordEncoder:
     White space ends all pieces, so ids of a text are those of its words in a
     row. What the library gives is kept in a cache of bounded size: for texts of
     Latin-1 letters and ASCII by pieces of the pattern, for others by words. Texts
-    with special strings go to the library whole.
+    with special strings go to the library whole. ``encode_all`` looks up the
+    different pieces of many plain texts once.
     """
 
     def __init__(self, path: str):
@@ -79,20 +81,76 @@ class WordEncoder:
     def _encode(self, text: str) -> bytes:
         return self._ids(self.library.encode(text, add_special_tokens=False).ids)
 
-    def encode(self, text: str) -> bytes:
+    def _trim(self) -> None:
+        """Forgets the later half of a full cache; frequent pieces are met early."""
         for cache in (self.words, self.pieces):
             if len(cache) > CACHED:
+                early = dict(islice(cache.items(), CACHED // 2))
                 cache.clear()
+                cache.update(early)
+
+    def encode(self, text: str) -> bytes:
+        self._trim()
         if any(s in text for s in self.special):
             return self._encode(text)
         if _COMMON.fullmatch(text):
-            return b"".join(map(self.pieces.__getitem__, _pieces(text)))
+            lower = text.lower()
+            pieces = _spaced(lower).split() if _PLAIN.fullmatch(lower) else _COMMON_PIECE.findall(lower)
+            return b"".join(map(self.pieces.__getitem__, pieces))
         return b"".join(map(self.words.__getitem__, _WORD.findall(text)))
 
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        found: list[np.ndarray] = [np.zeros(0, self.kind)] * len(texts)
+        plain, spaced = [], []
+        for i, text in enumerate(texts):
+            lower = text.lower()
+            # Special strings hold signs that plain texts do not.
+            if _PLAIN.fullmatch(lower) and _COMMON.fullmatch(text):
+                plain.append(i)
+                spaced.append(_spaced(lower))
+            else:
+                found[i] = np.frombuffer(self.encode(text), self.kind)
+        self._trim()
+        if plain:
+            for i, ids in zip(plain, self._take(spaced), strict=True):
+                found[i] = ids
+        return found
+
+    def _take(self, spaced: list[str]) -> list[np.ndarray]:
+        """The ids of texts whose pieces stand between blanks."""
+        split = pc.ascii_split_whitespace(pa.array(spaced, pa.large_string()))
+        met = split.flatten().dictionary_encode()
+        names = met.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = [self.pieces[p] if p else b"" for p in names]
+        sizes = np.array([len(k) for k in known], np.int64) // self.kind().itemsize
+        table = np.frombuffer(b"".join(known), self.kind)
+        piece = met.indices.to_numpy()
+        length = sizes[piece]
+        ends = np.cumsum(length)
+        at = np.repeat((np.cumsum(sizes) - sizes)[piece] - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)
+        offsets = np.asarray(split.offsets) - split.offsets[0].as_py()
+        return np.split(table[at], np.concatenate([[0], ends])[offsets[1:-1]])
+
 
 _encoders: dict[str, WordEncoder] = {}  # of this worker
 
 
+def _text_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
+    """(ids, texts) of rows of (id, text), in lists of bounded size."""
+    ids, texts, held = [], [], 0
+    for batch in batches:
+        for doc, text in zip(batch.column(0), batch.column(1), strict=True):
+            ids.append(doc.as_py())
+            texts.append(text.as_py())
+            held += len(texts[-1])
+            if held >= CHUNK_CHARS:
+                yield ids, texts
+                ids, texts, held = [], [], 0
+    if ids:
+        yield ids, texts
+
+
 def write_token_files(
     docs: DataFrame,
     path: str,
@@ -118,14 +176,14 @@ def write_token_files(
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoders.get(tokenizer) or WordEncoder(tokenizer)
         _encoders[tokenizer] = encoder
-        end = np.array([end_id], encoder.kind).tobytes()
+        end = np.array([end_id], encoder.kind)
         part, number = TaskContext.get().partitionId(), 0
         ids: list[int | None] = []
-        pieces: list[bytes] = []
+        pieces: list[np.ndarray] = []
         held = 0
 
         def close() -> pa.RecordBatch:
-            values = np.frombuffer(b"".join(pieces), encoder.kind)
+            values = np.concatenate([x for p in pieces for x in (p, end)])
             # Frequent ids get small codes: few planes, and mostly zeros in the first.
             counts = np.bincount(values)
             symbols = np.argsort(-counts, kind="stable")[: np.count_nonzero(counts)]
@@ -133,7 +191,6 @@ def write_token_files(
             codes[symbols] = np.arange(len(symbols))
             levels = max(1, (len(symbols) - 1).bit_length())
             planes = WaveletMatrix.build(codes[values], levels).dump()
-            width = encoder.kind().itemsize
             return pa.RecordBatch.from_pylist(
                 [
                     {
@@ -142,18 +199,18 @@ def write_token_files(
                         "n_tokens": len(values),
                         "symbols": symbols.astype("<u4").tobytes(),
                         "doc_ids": ids,
-                        "doc_tokens": [len(p) // width for p in pieces],
+                        "doc_tokens": [len(p) + 1 for p in pieces],
                         "planes": planes,
                     }
                 ],
                 schema,
             )
 
-        for batch in batches:
-            for doc, text in zip(batch.column(0), batch.column(1), strict=True):
-                ids.append(doc.as_py())
-                pieces.append(encoder.encode(text.as_py()) + end)
-                held += len(pieces[-1]) // encoder.kind().itemsize
+        for docs, texts in _text_chunks(batches):
+            for doc, encoded in zip(docs, encoder.encode_all(texts), strict=True):
+                ids.append(doc)
+                pieces.append(encoded)
+                held += len(encoded) + 1
                 if held >= shard_tokens:
                     yield close()
                     ids, pieces, held, number = [], [], 0, number + 1
@@ -254,3 +311,87 @@ def read_token_files(spark: SparkSession, path: str, id_col: str = "doc_id") ->
         "n_tokens",
         "ids_crc32",
     )
+
+
+def _shard(row: dict) -> tuple[WaveletMatrix, np.ndarray, np.ndarray]:
+    """The matrix of a shard, its ids by code, and where its documents begin."""
+    matrix = WaveletMatrix.load(row["planes"], row["n_tokens"])
+    return matrix, np.frombuffer(row["symbols"], "<u4"), np.concatenate([[0], np.cumsum(row["doc_tokens"])])
+
+
+def tokens_at(spark: SparkSession, path: str, asked: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(id, pos, token): the tokens at some positions of documents, read by access.
+
+    ``asked`` is (id, pos), positions from 0. Positions beyond a document's end, NULLs
+    and unknown ids give no row; a repeated question gives a row each time, and an
+    id that several documents have one for each. Only the shards asked for are
+    opened, and nothing is decoded but the tokens themselves.
+    """
+    files = spark.read.schema(_FILE).parquet(path)
+    listed = files.select("part", "shard", F.posexplode(F.arrays_zip("doc_ids", "doc_tokens")).alias("nth", "doc")).select(
+        "part", "shard", "nth", F.col("doc.doc_ids").alias("id"), F.col("doc.doc_tokens").alias("size")
+    )
+    wanted = asked.select(F.col(id_col).cast("bigint").alias("id"), F.col("pos").cast("bigint").alias("pos"))
+    placed = stage(
+        listed.join(wanted, "id").filter((F.col("pos") >= 0) & (F.col("pos") < F.col("size"))).drop("size"), "asked-tokens"
+    )
+
+    def read(questions: pa.Table, shards: pa.Table) -> pa.Table:
+        tokens = np.zeros(questions.num_rows, np.int64)
+        for row in shards.to_pylist() if questions.num_rows else []:
+            matrix, symbols, first = _shard(row)
+            at = first[questions["nth"].to_numpy()] + questions["pos"].to_numpy()
+            tokens = symbols[matrix.access(at)].astype(np.int64)
+        return pa.table({"id": questions["id"], "pos": questions["pos"], "token": tokens})
+
+    keys = ["part", "shard"]
+    opened = files.join(placed.select(*keys).distinct(), keys, "left_semi").drop("doc_ids")
+    found = placed.groupBy(*keys).cogroup(opened.groupBy(*keys)).applyInArrow(read, "id bigint, pos bigint, token bigint")
+    return found.withColumnRenamed("id", id_col)
+
+
+def token_counts(spark: SparkSession, path: str, tokens: Sequence[int]) -> DataFrame:
+    """(token, n, shards): how often some tokens occur in all files, and in how many shards.
+
+    Each shard counts by rank over its whole length. Tokens that occur nowhere are listed
+    with 0.
+    """
+    wanted = np.unique(np.array(tokens, np.int64))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                matrix = WaveletMatrix.load(row["planes"], row["n_tokens"])
+                symbols = np.frombuffer(row["symbols"], "<u4")
+                codes = np.flatnonzero(np.isin(symbols, wanted))
+                n = matrix.rank(codes, np.full(len(codes), row["n_tokens"]))
+                yield pa.RecordBatch.from_arrays([pa.array(symbols[codes].astype(np.int64)), pa.array(n)], ["token", "n"])
+
+    files = spark.read.schema(_FILE).parquet(path).select("n_tokens", "symbols", "planes")
+    zeros = spark.createDataFrame([(int(t), 0) for t in wanted], "token bigint, n bigint")
+    counts = files.mapInArrow(count, "token bigint, n bigint").union(zeros)
+    return counts.groupBy("token").agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("shards"))
+
+
+def token_positions(
+    spark: SparkSession, path: str, tokens: Sequence[int], id_col: str = "doc_id"
+) -> DataFrame:
+    """(id, token, pos): where some tokens occur in the documents, read by select."""
+    wanted = np.unique(np.array(tokens, np.int64))
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
+                matrix, symbols, first = _shard(row)
+                docs = pa.array(row["doc_ids"], pa.int64())
+                for code in np.flatnonzero(np.isin(symbols, wanted)).tolist():
+                    met = np.sort(matrix.occurrences(code))
+                    doc = np.searchsorted(first, met, side="right") - 1
+                    token = pa.array(np.full(len(met), symbols[code], np.int64))
+                    yield pa.RecordBatch.from_arrays(
+                        [docs.take(pa.array(doc)), token, pa.array(met - first[doc])], ["id", "token", "pos"]
+                    )
+
+    files = spark.read.schema(_FILE).parquet(path)
+    return files.mapInArrow(find, "id bigint, token bigint, pos bigint").withColumnRenamed("id", id_col)

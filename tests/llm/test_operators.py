@@ -18,9 +18,9 @@ from segue.llm.line_dedup import line_dedup
 from segue.llm.mixing import mix, mix_rows
 from segue.llm.prefix_tokens import PrefixCounter, counts_at, prefix_tokens
 from segue.llm.queries import URL_RULES, queries, tokenizer
-from segue.llm.token_files import read_token_files, write_token_files
+from segue.llm.token_files import read_token_files, token_counts, token_positions, tokens_at, write_token_files
 from segue.llm.topk import ImpactIndex, top_k
-from segue.llm.url_filter import url_filter
+from segue.llm.url_filter import filter_bits, url_filter
 from segue.llm.wavelet import WaveletMatrix
 from segue.sources.storage import scratch_path, stage
 
@@ -99,6 +99,38 @@ def test_token_files(spark, odd):
     assert read_token_files(spark, folder + "-empty").count() == 0
 
 
+def test_token_file_query_and_lookups(spark):
+    """The whole table against the library, and single tokens of the written files."""
+    from tokenizers import Tokenizer
+
+    path = tokenizer("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    ids = {i: library.encode(t, add_special_tokens=False).ids + [1] for i, t in texts.items()}
+    start = 0
+    rows = {r.doc_id: r for r in queries()["op4_token_files"](spark, SF).collect()}
+    assert len(rows) == len(texts)
+    for i in sorted(texts):
+        crc = zlib.crc32(np.array(ids[i], "<u4").tobytes())
+        assert (rows[i].start, rows[i].n_tokens, rows[i].ids_crc32) == (start, len(ids[i]), crc)
+        start += len(ids[i])
+    folder = scratch_path(spark, "test-lookups")
+    write_token_files(docs, folder, path, 1, shard_tokens=5000)
+    counts = Counter(t for own in ids.values() for t in own)
+    few = [t for t, _ in counts.most_common(3)] + [min(counts, key=counts.get), 49_000]
+    found = token_counts(spark, folder, few).collect()
+    assert {r.token: r.n for r in found} == {t: counts[t] for t in few}
+    met = token_positions(spark, folder, few[2:]).collect()
+    want = [(i, t, p) for i, own in ids.items() for p, t in enumerate(own) if t in few[2:]]
+    assert sorted((r.doc_id, r.token, r.pos) for r in met) == sorted(want)
+    asked = [(i, p) for i, own in ids.items() for p in range(0, len(own) + 5, 37)] + [(0, 0), (0, -1), (None, 0), (10**9, 0)]
+    asked_rows = spark.createDataFrame(asked, "doc_id long, pos long").withColumn("token", F.lit(0))
+    got = tokens_at(spark, folder, asked_rows)
+    want = [(i, p, ids[i][p]) for i, p in asked if i in ids and 0 <= p < len(ids[i])]
+    assert sorted((r.doc_id, r.pos, r.token) for r in got.collect()) == sorted(want)
+
+
 def test_wavelet_matrix():
     values = np.random.default_rng(1).integers(0, 37, 5000).astype(np.uint16)
     matrix = WaveletMatrix.load(WaveletMatrix.build(values, 6).dump(), len(values))
@@ -143,6 +175,11 @@ def test_url_filter(spark):
     assert url_filter(pages.limit(0), URL_RULES).count() == 0
 
 
+def test_url_filters_do_not_grow_with_the_urls():
+    assert filter_bits(3, 0) == 64 and filter_bits(10**6, 10**6) == 8 * 10**6
+    assert filter_bits(3, 10**12) < 100_000 and filter_bits(50_000, 10**11) < 1 << 24
+
+
 def test_topk(spark):
     draw = np.random.default_rng(3)
     rows = [(i, draw.normal(0, 0.3, 8).tolist()) for i in range(300)]
@@ -177,6 +214,7 @@ def test_contamination_in_blocks(spark, monkeypatch):
     from segue.llm import decontaminate
 
     monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 4)
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 200)  # several rounds
     items = [(i, " ".join(f"w{i}x{k}" for k in range(20))) for i in range(6)] + [(50, "Tiny Item"), (51, None), (52, "--")]
     docs = [(0, items[0][1] + " and " + items[3][1][:60]), (1, "x tiny, ITEM y"), (2, None), (3, ""),
             (4, "z " * 2000 + "tiny item"), (1, "x tiny, ITEM y")]
@@ -220,7 +258,9 @@ def test_license_lines_with_common_words(spark):
     common = "All that was under and on it is by the way of those."
     mine = ["It is released under the MIT License.", "Released under the MIT License, and on it.",
             "# Licensed under the Apache License,\n# Version 2.0.\ncode()", "MIT License\n\nCopyright 2020 A\n\n" + mit,
-            "\n\n".join(mit.split("\n")[:3]), "released mit"]
+            "\n\n".join(mit.split("\n")[:3]), "released mit",
+            "\n\n".join(["int main() { return 0; }"] * 99 + mit.split("\n") + ["x = x + 1"] * 6000)]
+    assert len(mine[-1]) > 60_000
     rows = [(i, str(i), t) for i, t in enumerate(mine)] + [(100 + i, "other", f"{common} w{i}") for i in range(900)]
     files = spark.createDataFrame(rows, "doc_id long, folder string, text string")
     got = {r.doc_id: r for r in license_scan(files).collect()}
@@ -233,14 +273,23 @@ def test_license_lines_with_common_words(spark):
         dot = sum(x * b.get(w, 0) for w, x in a.items())
         return dot / math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
 
+    most = licenses.STRETCH * max(sum(bag(t).values()) for _, t in licenses.TEXTS)
     for i, text in enumerate(mine):
-        units = [*text.split("\n"), *text.split("\n\n"), text]
-        units = [u for u in units if bag(u)]
-        best, name = max((cosine(u, t), n) for u in units for n, t in [*licenses.NOTICES, *licenses.TEXTS])
+        passages = [p for p in re.split(r"\n\s*\n", text) if bag(p)]
+        long = passages[90:140]
+        ends = [(a, b) for a in range(len(long)) for b in range(a + 2, len(long) + 1)] if len(passages) > 140 else [
+            (a, b) for a in range(len(passages)) for b in range(a + 2, len(passages) + 1)]
+        some = long if len(passages) > 140 else passages
+        runs = ["\n\n".join(some[a:b]) for a, b in ends]
+        runs = [r for r in runs if sum(bag(r).values()) <= most]
+        units = {u for u in [*text.split("\n"), *passages] if bag(u)}
+        found = [(cosine(u, t), n) for u in units for n, t in [*licenses.NOTICES, *licenses.TEXTS]]
+        found += [(cosine(u, t), n) for u in runs for n, t in licenses.TEXTS]
+        best, name = max(found)
         want = (name, round(best, 6)) if best >= 0.8 else (None, None)
         assert got[i].own_license == want[0], i
         assert got[i].cosine == (want[1] and pytest.approx(want[1], abs=2e-6))
-    assert [got[i].own_license for i in range(4)] == ["MIT", "MIT", "Apache-2.0", "MIT"]
+    assert [got[i].own_license for i in (0, 1, 2, 3, 6)] == ["MIT", "MIT", "Apache-2.0", "MIT", "MIT"]
     assert got[100].own_license is None
 
 
@@ -273,6 +322,10 @@ def test_word_encoder_matches_the_library_on_odd_texts():
     for text in [*texts, "<|endoftext|> a.", "a,b. c", "Plain, plain.\nText.", "x." * 9]:
         ids = library.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(encoder.encode(text), encoder.kind).tolist() == ids, text
+    every = [*texts, "", " ", "Plain, plain.\nText.", "<|endoftext|>", "日本 x"]
+    for text, ids in zip(every, encoder.encode_all(every), strict=True):
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, text
+    assert encoder.encode_all([]) == []
 
 
 @pytest.mark.parametrize("kind", ["normal", "outlier", "equal", "wide", "empty", "huge"])
