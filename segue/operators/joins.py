@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import math
 from functools import reduce
-from operator import or_
+from operator import add, or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from segue.sources.storage import stage
 
@@ -15,8 +16,11 @@ from segue.sources.storage import stage
 # are never more than 1 / HOT_SHARE hot keys and broadcasting them is safe.
 HOT_SHARE = 1 / 512
 
-# Largest key list (in rows) that is broadcast after its size was checked.
+# Largest table (in rows and bytes) that is broadcast after its size was checked.
 BROADCAST_ROWS = 2_000_000
+BROADCAST_BYTES = 256 << 20
+# With so few rows, only values of more than 25 kB each could exceed the bytes.
+SURELY_FEW = 10_000
 
 
 def hot_keys(counts: DataFrame, on: list[str], share: float = HOT_SHARE) -> DataFrame:
@@ -81,13 +85,44 @@ def spread_join(
     return joined.drop("_part")
 
 
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``limit`` rows.
+def _width(kind: T.DataType, value: Column) -> Column:
+    """Bytes of a value, about as Spark holds it."""
+    if isinstance(kind, T.StringType | T.BinaryType):
+        return F.coalesce(F.octet_length(value), F.lit(0)) + 16
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, T.StringType | T.BinaryType | T.ArrayType | T.StructType | T.MapType):
+            each = F.aggregate(
+                F.coalesce(value, F.array().cast(kind)), F.lit(16).cast("bigint"),
+                lambda total, x: total + _width(kind.elementType, x),
+            )
+            return each
+        return F.coalesce(F.size(value), F.lit(0)) * 8 + 16
+    if isinstance(kind, T.StructType):
+        return reduce(add, (_width(f.dataType, value[f.name]) for f in kind), F.lit(16))
+    if isinstance(kind, T.MapType):
+        return _width(T.ArrayType(kind.keyType), F.map_keys(value)) + _width(T.ArrayType(kind.valueType), F.map_values(value))
+    return F.lit(8)
+
+
+def fits_broadcast(
+    df: DataFrame, limit: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES
+) -> bool:
+    """Whether ``df`` has at most ``limit`` rows, which take at most ``most_bytes``.
 
     A plain count: every task sends one number, whereas a limit would send up to
-    that many rows of each task to a single one.
+    that many rows of each task to a single one. The bytes are summed up only for
+    tables that pass the count and could exceed them.
     """
-    return df.count() <= limit
+    rows = df.count()
+    if rows > limit:
+        return False
+    varying = T.StringType | T.BinaryType | T.ArrayType | T.StructType | T.MapType
+    if not any(isinstance(f.dataType, varying) for f in df.schema):
+        return rows * 8 * (len(df.columns) + 1) <= most_bytes
+    if rows < SURELY_FEW:
+        return True
+    width = reduce(add, (_width(f.dataType, F.col(f"`{f.name}`")) for f in df.schema), F.lit(8))
+    return df.agg(F.sum(width.cast("bigint"))).first()[0] <= most_bytes
 
 
 def lookup_join(
@@ -100,8 +135,8 @@ def lookup_join(
 ) -> DataFrame:
     """Equi join of many rows with a table whose keys are not hot.
 
-    The right side is broadcast once it is known to have at most ``limit`` rows,
-    so the left rows stay where they lie; a longer one is joined by shuffle with
+    The right side is broadcast once it is known to have at most ``limit`` rows
+    (and BROADCAST_BYTES), so the left rows stay where they lie; a longer one is joined by shuffle with
     hot left keys spread. ``right`` is read twice: pass a stored table.
     """
     if fits_broadcast(right, limit):

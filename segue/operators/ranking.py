@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from segue.operators.joins import fits_broadcast
 from segue.sources.storage import stage
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in these bits
@@ -21,7 +22,8 @@ def global_rank(counts: DataFrame, by: str, name: str) -> DataFrame:
     count, so it follows from the histogram of counts. Counts that are all
     different sum to at least v * (v + 1) / 2, so N underlying rows give at most
     sqrt(2 N) histogram rows (4.5 million for 10^13): small enough for one
-    window task and for the broadcast, and never the counted table itself.
+    window task, and never the counted table itself. They are broadcast when their
+    measured size allows that.
 
     The counts are staged, as they are read for the histogram and for the result.
     """
@@ -34,7 +36,9 @@ def global_rank(counts: DataFrame, by: str, name: str) -> DataFrame:
         .cast("bigint")
         .alias(name),
     )
-    return counts.join(F.broadcast(ranks), by).select(*counts.columns, name)
+    ranks = stage(ranks, f"{name}-by-count")
+    ranks = F.broadcast(ranks) if fits_broadcast(ranks) else ranks
+    return counts.join(ranks, by).select(*counts.columns, name)
 
 
 def dense_index(keys: DataFrame, order: list[Column], name: str) -> DataFrame:

@@ -86,3 +86,17 @@ def test_top_pairs_names_both_items_and_leaves_out_unknown_ones(spark, rows):
         ("a", "b", "A", "P", "B", None, 5),
         ("a", "c", "A", "P", "C", "Q", 4),
     ]
+
+
+def test_broadcasts_are_bounded_in_bytes(spark):
+    from segue.operators import joins
+
+    wide = spark.range(20_000).select("id", F.array(*[F.lit(1.0)] * 50).alias("v"), F.lit("x" * 100).alias("s"))
+    assert joins.fits_broadcast(wide)
+    assert joins.fits_broadcast(wide, most_bytes=20_000 * 600)
+    assert not joins.fits_broadcast(wide, most_bytes=20_000 * 500)
+    assert not joins.fits_broadcast(wide, limit=19_999)
+    assert not joins.fits_broadcast(spark.range(20_000), most_bytes=200_000)
+    nested = spark.range(20_000).select(F.struct("id", F.create_map(F.lit("k"), F.array(F.lit("y" * 1000)))).alias("n"))
+    assert joins.fits_broadcast(nested) and not joins.fits_broadcast(nested, most_bytes=20_000 * 1000)
+    assert joins.fits_broadcast(wide.filter("id < 0"), most_bytes=0)
