@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segue.llm.fm_index import FmIndex
+from segue.llm.names import unused
 from segue.llm.words import chunks
 from segue.operators.joins import fits_broadcast
 from segue.sources.storage import scratch_path, stage
@@ -299,14 +300,15 @@ def clean_rows(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
 ) -> DataFrame:
     """The rows of ``docs`` that are not contaminated."""
+    key, mark = unused(docs, "_id", "_version")
     found = contamination(docs, items, id_col, text_col, **options)
     bad = stage(
-        found.filter("contaminated").select(F.col(id_col).alias("_id"), F.col("version").alias("_v")).distinct(),
+        found.filter("contaminated").select(F.col(id_col).alias(key), F.col("version").alias(mark)).distinct(),
         "contaminated",
     )
     bad = F.broadcast(bad) if fits_broadcast(bad) else bad.hint("shuffle_hash")
     return docs.join(
         bad,
-        F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_v")),
+        F.col(id_col).eqNullSafe(F.col(key)) & (F.xxhash64(text_col) == F.col(mark)),
         "left_anti",
     )

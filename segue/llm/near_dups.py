@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segue.llm.components import components
+from segue.llm.names import unused
 from segue.llm.words import Words, all_words, chunks, mix, shingles
 from segue.operators.joins import fits_broadcast, spread_join
 from segue.sources.storage import stage
@@ -594,20 +595,17 @@ def one_of_each(
 
     Rows that must go are listed by id and hash of the text.
     """
+    key, mark = unused(docs, "_id", "_version")
     found = stage(near_duplicates(docs, id_col, text_col, **options), "near-duplicates")
     gone = stage(
-        found.filter("not stays")
-        .select(F.col(id_col).alias("_id"), F.col("version").alias("_v"))
-        .distinct(),
+        found.filter("not stays").select(F.col(id_col).alias(key), F.col("version").alias(mark)).distinct(),
         "gone",
     )
     gone = F.broadcast(gone) if fits_broadcast(gone) else gone.hint("shuffle_hash")
     version = F.xxhash64(F.coalesce(text_col, F.lit("")))
-    kept = docs.join(
-        gone, F.col(id_col).eqNullSafe(F.col("_id")) & (version == F.col("_v")), "left_anti"
-    )
+    kept = docs.join(gone, F.col(id_col).eqNullSafe(F.col(key)) & (version == F.col(mark)), "left_anti")
     repeated = found.filter("stays").groupBy(id_col, "version").count().filter("count > 1")
     if repeated.isEmpty():
         return kept
     # By the hash, as a NULL and an empty text of one id are the same.
-    return kept.withColumn("_version", version).dropDuplicates([id_col, "_version"]).drop("_version")
+    return kept.withColumn(mark, version).dropDuplicates([id_col, mark]).drop(mark)
