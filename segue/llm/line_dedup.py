@@ -13,8 +13,6 @@ from segue.sources.storage import stage
 # White space in ASCII: blank and \t to \r.
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 
-_LAST = (1 << 63) - 1  # stands for a NULL id, so that it sorts after all others
-
 
 def line_key(line: Column) -> Column:
     """The line without ASCII white space at its ends, A-Z in lower case."""
@@ -56,7 +54,11 @@ def line_dedup(
     """
     base = docs.select(
         F.col(id_col).alias("id"),
-        F.coalesce(F.col(id_col).cast("bigint"), F.lit(_LAST)).alias("doc"),
+        # The flag tells a NULL id from any number, and sorts it last.
+        F.struct(
+            F.col(id_col).isNull().alias("no_id"),
+            F.coalesce(F.col(id_col).cast("bigint"), F.lit(0)).alias("number"),
+        ).alias("doc"),
         F.col(text_col).alias("text"),
         # Tells rows with the same id but different texts apart.
         F.xxhash64(text_col).alias("version"),

@@ -146,6 +146,8 @@ def test_line_dedup(odd):
     assert (3, "  \t shared line of text \n\nx", 3, 0) in got
     assert (4, "Étude des lignes", 2, 1) in got  # É is not é
     assert (None, "", 1, 1) in got and (1, "", 1, 0) in got and (2, "", 1, 0) in got
+    last = odd.sparkSession.createDataFrame([(None, "one shared line"), ((1 << 63) - 1, "one shared line")], "doc_id long, text string")
+    assert {(r.doc_id, r.n_dropped) for r in line_dedup(last).collect()} == {(None, 1), ((1 << 63) - 1, 0)}
     assert line_dedup(odd).count() == len(ODD) and line_dedup(odd.limit(0)).count() == 0
 
 
