@@ -68,16 +68,20 @@ WORD = 2**32
 def hash_word(key: Column, seed: int = 0) -> Column:
     """A number in [0, 2^32) mixed from an integer key and a seed.
 
+    The seed is added once the key is mixed: before, seed s would draw a key as
+    another seed draws a neighbouring key.
+
     Plain integer arithmetic: it stays in generated code and costs a fraction of
     a digest of the key's text, which matters where every row is drawn.
     """
     mask = F.lit(WORD - 1)
     key = key.cast("bigint")
     word = key.bitwiseXOR(F.shiftright(key, 32)).bitwiseAND(mask)
-    word = (word + F.lit(seed % WORD)).bitwiseAND(mask)
-    for shift, multiplier in MIX_ROUNDS:
+    for number, (shift, multiplier) in enumerate(MIX_ROUNDS):
         word = word.bitwiseXOR(F.shiftright(word, shift))
         word = (word * F.lit(multiplier)).bitwiseAND(mask)
+        if number == 0:
+            word = (word + F.lit(seed % WORD)).bitwiseAND(mask)
     return word.bitwiseXOR(F.shiftright(word, MIX_LAST_SHIFT))
 
 

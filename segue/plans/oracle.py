@@ -29,9 +29,10 @@ from segue.plans.queries import (
 
 def _drawn(key: str, seed: int) -> str:
     """The 32-bit number that decides whether a key is sampled."""
-    word = f"((xor({key}, {key} >> 32) & 4294967295) + {seed}) & 4294967295"
-    for shift, multiplier in [(16, 569420461), (15, 1935289751)]:
-        word = f"((xor(({word}), ({word}) >> {shift}) * {multiplier}) & 4294967295)"
+    word = f"(xor({key}, {key} >> 32) & 4294967295)"
+    for shift, multiplier, added in [(16, 569420461, seed), (15, 1935289751, 0)]:
+        word = f"(((xor({word}, {word} >> {shift}) * {multiplier}) & 4294967295) + {added}) & 4294967295"
+        word = f"({word})"
     return f"xor({word}, {word} >> 15)"
 
 

@@ -175,6 +175,8 @@ def test_sample_depends_on_the_key_alone(spark, rows):
     other = rows(df.filter(hash_below(F.col("pid"), 0.1, 43)))
     assert once == again and once != other and 140 < len(once) < 260
     assert df.filter(hash_below(F.col("pid"), 0.0)).isEmpty()
+    same = hash_below(F.col("pid") + 1, 0.5, 0) == hash_below(F.col("pid"), 0.5, 1)
+    assert 0.4 < df.filter(same).count() / 2000 < 0.6
     assert df.filter(hash_below(F.col("pid"), 1.0)).count() == 2000
 
 
