@@ -36,7 +36,7 @@ from segue.sources.slices import (
     request_seeds,
     write_quarantine,
 )
-from segue.sources.storage import register_views, scratch_path, stage
+from segue.sources.storage import scratch_path, stage, temporary_views
 
 TOP_ITEMS = 500
 MIN_PAIRS = 3
@@ -242,24 +242,23 @@ def top_artists(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def top_artists_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same report written as SQL over registered views."""
-    register_views(
-        {
-            "playlist_tracks": purchases.interactions(spark, sf_dir),
-            "tracks": purchases.tracks(spark, sf_dir),
-        }
-    )
-    return spark.sql(
-        """
-        WITH counted AS (
-            SELECT track_uri, count(*) AS n FROM playlist_tracks GROUP BY track_uri
+    tables = {
+        "playlist_tracks": purchases.interactions(spark, sf_dir),
+        "tracks": purchases.tracks(spark, sf_dir),
+    }
+    with temporary_views(tables):
+        return spark.sql(
+            """
+            WITH counted AS (
+                SELECT track_uri, count(*) AS n FROM playlist_tracks GROUP BY track_uri
+            )
+            SELECT t.artist_name, sum(c.n) AS track_appearances
+            FROM counted c JOIN tracks t ON c.track_uri = t.track_uri
+            GROUP BY t.artist_name
+            ORDER BY track_appearances DESC, artist_name
+            LIMIT 20
+            """
         )
-        SELECT t.artist_name, sum(c.n) AS track_appearances
-        FROM counted c JOIN tracks t ON c.track_uri = t.track_uri
-        GROUP BY t.artist_name
-        ORDER BY track_appearances DESC, artist_name
-        LIMIT 20
-        """
-    )
 
 
 # --- features ----------------------------------------------------------------

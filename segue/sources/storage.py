@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import json
+import re
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.ml.feature import Word2VecModel
@@ -29,6 +31,21 @@ def register_views(tables: dict[str, DataFrame]) -> None:
         table.createOrReplaceTempView(name)
 
 
+@contextmanager
+def temporary_views(tables: dict[str, DataFrame]) -> Iterator[None]:
+    """Tables under names that SQL inside the block can use; gone after it.
+
+    A DataFrame made by ``spark.sql`` in the block stays valid. Views of the
+    caller under one of the names are replaced, so choose other names.
+    """
+    register_views(tables)
+    try:
+        yield
+    finally:
+        for name, table in tables.items():
+            table.sparkSession.catalog.dropTempView(name)
+
+
 def literal_queries(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A DataFrame of hand-given rows, such as the users to recommend for."""
     return spark.createDataFrame(rows, schema)
@@ -117,7 +134,7 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
     return context.getCheckpointDir().rstrip("/")

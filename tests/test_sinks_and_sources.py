@@ -138,6 +138,12 @@ def test_user_vectors_solve_their_equations(spark, wide):
     assert gaps[0] > 1e-2 and gaps[1] < 1e-4
 
 
+def test_views_do_not_outlive_their_block(spark):
+    with storage.temporary_views({"seven": spark.range(7)}):
+        counted = spark.sql("SELECT count(*) FROM seven")
+    assert counted.first()[0] == 7 and not spark.catalog.tableExists("seven")
+
+
 def test_models_are_checked_when_they_are_loaded(spark, wide, folder):
     _, _, _, model = wide
     storage.save_model(model, f"{folder}/als")
