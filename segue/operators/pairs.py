@@ -127,7 +127,8 @@ def cooccurrence(
     popular = popularity.filter(F.col("popularity_rank") <= top_k).select("track_uri")
     popular = stage(popular, "popular")
     kept = restrict_to(playlist_tracks.select("pid", "track_uri"), popular, "track_uri")
-    return pair_counts(kept, min_count)
+    # The most popular items can nearly all reach the count, so bounds would not pay.
+    return pair_counts(kept, min_count, prune=False)
 
 
 def sample_collections(
