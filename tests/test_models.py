@@ -1,3 +1,4 @@
+import pathlib
 import tempfile
 
 import numpy as np
@@ -40,6 +41,16 @@ def test_als_vectors_and_repeatability(fitted):
         assert v.features == pytest.approx(first[v.track_uri], abs=1e-4)
 
 
+def test_als_is_checkpointed_in_every_iteration(spark, fitted):
+    """Without it, the shuffle files of all iterations stay until the fit ends."""
+    _, _, ratings = fitted
+    folder = pathlib.Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    before = set(folder.glob("rdd-*"))
+    models.fit_als(ratings, rank=3, maxIter=3)
+    # Of the three checkpoints, the earlier two are deleted.
+    assert len(set(folder.glob("rdd-*")) - before) == 1
+
+
 def test_als_recommend(spark, train, fitted, rows):
     id_map, model, _ = fitted
     tracks = id_map.select("track_uri", F.lit("n").alias("track_name"), F.lit("a").alias("artist_name"))
