@@ -173,3 +173,48 @@ def test_best_positions_prefers_the_first_of_equals():
     assert sorted(best_positions(scores, 9, -np.inf)) == [0, 1, 2, 3, 4, 5]
     assert sorted(best_positions(scores, 9, 2.5)) == [1, 3]
     assert sorted(best_positions(scores, 3, 2.0)) == [1, 2, 3]
+
+
+def test_items_without_vectors_are_in_no_tile(spark, tables, monkeypatch, rows):
+    """They come from the popularity list, with the scores and order of a tile."""
+    schema = "track_uri string, playlist_count bigint, popularity double, als array<double>, word array<double>, word_norm double"
+    data = [(f"t:{i:02d}", i % 5, i % 5 / 4, [i - 3.0] if i < 6 else None, None, None) for i in range(40)]
+    candidates = stage(spark.createDataFrame(data, schema), "candidates")
+    asked = [(1, 0.0, 1.0, 2.0), (2, 0.5, -1.0, 0.0), (3, -0.5, 0.25, 1.0), (4, 0.1, 0.0, 0.0)]
+    queries = spark.createDataFrame(
+        [(q, w, [x], None, s) for q, w, x, s in asked],
+        "pid long, weight double, als_q array<double>, word_q array<double>, shift double",
+    )
+    held = {1: ["t:06", "t:05"], 2: ["t:09", "t:14", "gone"], 3: ["t:10"], 4: []}
+    seeds = spark.createDataFrame([(q, u) for q, us in held.items() for u in us], "pid long, track_uri string")
+    met = []
+    plain_tiles = scoring._tiles
+    monkeypatch.setattr(scoring, "_tiles", lambda c, *more, **named: met.append(c.count()) or plain_tiles(c, *more, **named))
+    got = {}
+    for r in scoring.recommend(candidates, queries, seeds, ["pid"], 12).orderBy("pid", "rank").collect():
+        got.setdefault(r.pid, []).append((r.track_uri, r.score))
+    for q, w, x, s in asked:
+        scores = {u: w * p + (x * a[0] if a else 0.0) + s for u, _, p, a, *_ in data if u not in held[q]}
+        want = sorted(scores.items(), key=lambda e: (-e[1], e[0]))[:12]
+        assert [u for u, _ in got[q]] == [u for u, _ in want]
+        assert [v for _, v in got[q]] == pytest.approx([v for _, v in want])
+    assert met == [6]
+
+
+def test_popular_lists_unfold_in_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(scoring, "LIST_ROWS", 50)
+    candidates = stage(spark.createDataFrame(
+        [(f"t:{i:02d}", 40 - i, (40 - i) / 40) for i in range(40)], "track_uri string, playlist_count bigint, popularity double"
+    ), "popular")
+    queries = spark.createDataFrame([(p, 10, 1.0, 0.0) for p in range(40)] + [(40, 10, 1.0, 0.0)] * 2, "pid long, need long, weight double, shift double")
+    seeds = spark.createDataFrame([(p, f"t:{p:02d}") for p in range(40)], "pid long, track_uri string")
+    lists = scoring._popular_lists(candidates, queries, seeds, ["pid"])
+    assert lists.rdd.getNumPartitions() == 9
+    for p in range(40):
+        got = [r.track_uri for r in lists.filter(F.col("pid") == p).orderBy("rank").collect()]
+        assert got == [f"t:{i:02d}" for i in range(40) if i != p][:10]
+        if p > 2:
+            break
+    # Two queries of the same keys share a list, as rows of one window do.
+    twice = lists.filter("pid = 40").orderBy("rank").collect()
+    assert [(r["rank"], r.track_uri) for r in twice] == [(k + 1, f"t:{k // 2:02d}") for k in range(10)]
