@@ -117,3 +117,14 @@ def test_pruned_pairs_are_whole(spark, rows, least):
     for r in pairs.support_bounds(folded).collect():
         best = max((n for a, b, n in plain_counts(data, 1) if r.track_uri in (a, b)), default=0)
         assert r.bound >= best
+
+
+def test_users_are_spread_by_number(spark, monkeypatch):
+    """Few bytes of users are many products: they do not follow the size of files."""
+    monkeypatch.setattr(blocks, "FIRST_USERS", 10)
+    users = spark.createDataFrame([(u, [float(u % 7), 1.0]) for u in range(100)], "user_id long, features array<double>").coalesce(1)
+    items = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(9)], "item_id long, features array<double>")
+    first = blocks.pack_items(items).first().asDict()
+    lists = blocks.first_lists(users, first, [first["longest"]], 2)
+    assert lists.rdd.getNumPartitions() == 10 and lists.count() == 100
+    assert blocks.top_by_product(users, items, 2).count() == 200
