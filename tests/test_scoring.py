@@ -218,3 +218,13 @@ def test_popular_lists_unfold_in_several_tasks(spark, monkeypatch):
     # Two queries of the same keys share a list, as rows of one window do.
     twice = lists.filter("pid = 40").orderBy("rank").collect()
     assert [(r["rank"], r.track_uri) for r in twice] == [(k + 1, f"t:{k // 2:02d}") for k in range(10)]
+
+
+def test_an_item_without_uri_comes_last_of_equals(spark):
+    schema = "track_uri string, playlist_count bigint, popularity double, als array<double>, word array<double>, word_norm double"
+    data = [(u, 1, 1.0, [-1.0] if u == "t:0" else None, None, None) for u in [None, "t:0", "t:1", "t:2", "t:3"]]
+    candidates = stage(spark.createDataFrame(data, schema), "candidates")
+    queries = spark.createDataFrame([(1, 0.0, [1.0], None, 0.0)], "pid long, weight double, als_q array<double>, word_q array<double>, shift double")
+    seeds = spark.createDataFrame([(1, "t:1")], "pid long, track_uri string")
+    got = scoring.recommend(candidates, queries, seeds, ["pid"], 2).orderBy("rank").collect()
+    assert [r.track_uri for r in got] == ["t:2", "t:3"]
