@@ -101,6 +101,19 @@ def test_positions_equal_one_window_per_group(spark, rows):
     assert rows(got, "g", "i", "pos") == sorted(expected, key=repr)
 
 
+@pytest.mark.parametrize("tasks", [None, 3])
+def test_positions_sort_the_rows_once_and_join_nothing(spark, rows, tasks):
+    """NULL keys, days and order columns keep their places without a join of all rows."""
+    data = [(g, day, t, f"{g}-{day}-{t}") for g in (None, 1, 2) for day in (None, 0, 5) for t in (None, 0, 1)]
+    df = spark.createDataFrame(data[::-1], "g int, day int, t int, label string")
+    got = group_positions(df, ["g"], "day", ["t"], "pos", tasks)
+    assert got.columns == ["g", "day", "t", "label", "pos"] and dict(got.dtypes)["pos"] == "bigint"
+    # The rows above lie in the order of their places.
+    assert rows(got, "label", "pos") == sorted(((r[3], i % 9) for i, r in enumerate(data)), key=repr)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("Window") == 2
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_spread_join_equals_a_plain_join(spark, rows, how):
     # Key 0 holds a third of the rows and is split; keys 40.. have no partner.
