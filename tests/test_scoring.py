@@ -228,3 +228,46 @@ def test_an_item_without_uri_comes_last_of_equals(spark):
     seeds = spark.createDataFrame([(1, "t:1")], "pid long, track_uri string")
     got = scoring.recommend(candidates, queries, seeds, ["pid"], 2).orderBy("rank").collect()
     assert [r.track_uri for r in got] == ["t:2", "t:3"]
+
+
+def test_a_list_leaves_its_task_once(spark, tables, monkeypatch, rows):
+    """With as many groups of queries as workers, no task gives more than n items of a query."""
+    monkeypatch.setattr(scoring, "TILE_ITEMS", 3)
+    monkeypatch.setattr(scoring, "TILE_QUERIES", 1)
+    monkeypatch.setattr(scoring, "QUERY_BLOCKS", 1)
+    baseline, als, word, _, _ = tables
+    candidates = aligned_candidates(baseline, als, word)
+    schema = "pid long, weight double, als_q array<double>, word_q array<double>, shift double"
+    queries = stage(spark.createDataFrame([(p, 0.0, [1.0, p % 3 - 1.0, 0.5, 0.0], None, 0.0) for p in range(9)], schema), "queries")
+    seeds = stage(spark.createDataFrame([(p, f"t:{p:02d}") for p in range(9)], "pid long, track_uri string"), "seeds")
+    left = []
+    whole = scoring._top_of_tiles
+    monkeypatch.setattr(scoring, "_top_of_tiles", lambda *a, **b: left.append(whole(*a, **b)) or left[-1])
+    recs = scoring.recommend(candidates, queries, seeds, ["pid"], 7)
+    assert recs.count() == 9 * 7 and left[-1].count() == 9 * 7
+    assert "Window" not in recs._jdf.queryExecution().optimizedPlan().toString()
+    # Items without a vector beyond the head of the popularity list are merged from lists of their own.
+    expected = rows(recs)
+    monkeypatch.setattr(scoring, "HEAD_ROWS", 5)
+    assert rows(scoring.recommend(candidates, queries, seeds, ["pid"], 7)) == expected
+
+
+@pytest.mark.parametrize("head", [5, 100])
+def test_wanted_rows_keep_their_ranks(spark, tables, monkeypatch, rows, head):
+    monkeypatch.setattr(scoring, "HEAD_ROWS", head)
+    baseline, als, word, seeds, queries = tables
+    candidates = aligned_candidates(baseline, als, word)
+    asked = stage(model_queries(queries, seeds, candidates, als, word, ["pid"]), "asked")
+    wanted = stage(spark.createDataFrame(
+        [(p, u) for p in (1, 2, 3, 4) for u in URIS[p::3]] + [(5, None), (7, "t:01")], "pid long, track_uri string"
+    ), "wanted")
+    keys = ["model", "pid"]
+    lists = stage(scoring.recommend(candidates, asked, seeds, keys, 12), "lists")
+    expected = lists.join(wanted, ["pid", "track_uri"], "left_semi").select(*lists.columns)
+    assert rows(scoring.recommend(candidates, asked, seeds, keys, 12, wanted)) == rows(expected)
+    # Two queries of the same keys share a list.
+    twice = asked.union(asked.filter("pid < 4"))
+    lists = stage(scoring.recommend(candidates, twice, seeds, keys, 12), "lists")
+    assert lists.filter("pid = 1").count() == 4 * 12
+    expected = lists.join(wanted, ["pid", "track_uri"], "left_semi").select(*lists.columns)
+    assert rows(scoring.recommend(candidates, twice, seeds, keys, 12, wanted)) == rows(expected)
