@@ -128,3 +128,25 @@ def test_users_are_spread_by_number(spark, monkeypatch):
     lists = blocks.first_lists(users, first, [first["longest"]], 2)
     assert lists.rdd.getNumPartitions() == 10 and lists.count() == 100
     assert blocks.top_by_product(users, items, 2).count() == 200
+
+
+def test_item_blocks_pass_groups_of_users(spark, monkeypatch):
+    """A block of users goes to one task, not to one for each block of items."""
+    draw = np.random.default_rng(6)
+    items = [(i, [float(np.float32(v)) for v in row]) for i, row in enumerate(draw.normal(size=(300, 5)))]
+    people = [(u, [float(np.float32(v)) for v in row]) for u, row in enumerate(draw.normal(size=(90, 5)))]
+    items[7] = items[130] = (items[7][0], items[200][1])
+    items[130] = (130, items[200][1])
+    frame = stage(spark.createDataFrame(items, "item_id long, features array<float>"), "items")
+    users = stage(spark.createDataFrame(people, "user_id long, features array<float>"), "users")
+    monkeypatch.setattr(blocks, "GROUP_USERS", 30)
+    further = []
+    whole = blocks._further_lists
+    monkeypatch.setattr(blocks, "_further_lists", lambda *a: further.append(whole(*a)) or further[-1])
+    got = lists(blocks.top_by_product(users, frame, 6, item_block=10, user_block=8))
+    want = brute_force(people, items, 6)
+    assert {u: [k for k, _ in v] for u, v in got.items()} == {u: [k for k, _ in v] for u, v in want.items()}
+    plan = further[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "CoGroup" not in plan
+    # The floors rise as blocks pass: what leaves is n items of a user at most.
+    assert further[0].groupBy("user_id").count().agg(F.max("count")).first()[0] <= 6
