@@ -141,3 +141,44 @@ def test_similar_items(spark):
     assert [r.track_uri for r in named] == ["b"]
     with pytest.raises(ValueError):
         models.similar_items(vectors, "gone", 1)
+
+
+def test_residuals_group_by_group(spark, train, fitted, monkeypatch):
+    """Groups of users past blocks of items give what a join of all ratings gives."""
+    _, model, ratings = fitted
+    odd = ratings.union(ratings.limit(40)).filter("user_id > 3 or item_id > 9")
+    odd = odd.union(spark.createDataFrame([(7, 9999, 1.0), (8888, 3, 1.0)], "user_id int, item_id int, rating float"))
+    odd = storage.stage(odd.withColumn("rating", F.when(F.col("item_id") % 3 == 0, 2.5).otherwise(F.col("rating")).cast("float")), "odd")
+    monkeypatch.setattr(models, "GROUP_USERS", 9)
+    monkeypatch.setattr(models, "VECTOR_BLOCK", 6)
+    joined = []
+    monkeypatch.setattr(models, "spread_join", lambda *a, **b: joined.append(a))
+    found = {r.user_id: (r.ratings, r.residual) for r in models.als_residuals(model, odd, 0.1, 1.0).collect()}
+    # Ratings meet no vector in a join.
+    assert not joined
+    y = {r.id: np.array(r.features, float) for r in model.itemFactors.collect()}
+    x = {r.id: np.array(r.features, float) for r in model.userFactors.collect()}
+    gram = sum(np.outer(v, v) for v in y.values())
+    own = {}
+    for r in odd.collect():
+        if r.user_id in x and r.item_id in y:
+            own.setdefault(r.user_id, []).append((r.rating, y[r.item_id]))
+    assert set(found) == set(own)
+    for user, rows in own.items():
+        left = gram + sum(r * np.outer(v, v) for r, v in rows) + 0.1 * len(rows) * np.eye(4)
+        right = sum((1 + r) * v for r, v in rows)
+        assert found[user][0] == len(rows)
+        assert found[user][1] == pytest.approx(np.linalg.norm(left @ x[user] - right) / np.linalg.norm(right), rel=1e-4)
+    monkeypatch.undo()
+    monkeypatch.setattr(models, "HOT_RATINGS", 12)
+    hot = {r.user_id: (r.ratings, r.residual) for r in models.als_residuals(model, odd, 0.1, 1.0).collect()}
+    assert {u: n for u, (n, _) in hot.items()} == {u: n for u, (n, _) in found.items()}
+    assert all(hot[u][1] == pytest.approx(found[u][1], rel=1e-4, abs=1e-9) for u in found)
+
+
+def test_a_fitted_model_is_read_from_files(fitted):
+    """Else the executors keep its vectors, and the files of the last shuffle, while it lives."""
+    _, model, _ = fitted
+    for table in (model.userFactors, model.itemFactors):
+        plan = table._jdf.queryExecution().optimizedPlan().toString()
+        assert "parquet" in plan and "LogicalRDD" not in plan and "ExternalRDD" not in plan
