@@ -271,3 +271,14 @@ def test_wanted_rows_keep_their_ranks(spark, tables, monkeypatch, rows, head):
     assert lists.filter("pid = 1").count() == 4 * 12
     expected = lists.join(wanted, ["pid", "track_uri"], "left_semi").select(*lists.columns)
     assert rows(scoring.recommend(candidates, twice, seeds, keys, 12, wanted)) == rows(expected)
+
+
+def test_every_copy_of_a_seed_is_left_out(spark, rows):
+    """Vectors that come twice make several rows of an item."""
+    schema = "track_uri string, playlist_count bigint, popularity double, als array<double>, word array<double>, word_norm double"
+    data = [(f"t:{i}", 1, 1.0, [float(i)], None, None) for i in range(8) for _ in range(1 + i % 3)]
+    candidates = stage(spark.createDataFrame(data, schema), "candidates")
+    queries = spark.createDataFrame([(1, 0.0, [1.0], None, 0.0)], "pid long, weight double, als_q array<double>, word_q array<double>, shift double")
+    seeds = spark.createDataFrame([(1, "t:5"), (1, "t:7"), (1, "t:4")], "pid long, track_uri string")
+    got = scoring.recommend(candidates, queries, seeds, ["pid"], 5).orderBy("rank").collect()
+    assert [(r["rank"], r.track_uri) for r in got] == list(enumerate(["t:6", "t:3", "t:2", "t:2", "t:2"], 1))
